@@ -12,10 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import amount, base_features, cross, frequency, gaps, pairs, profile, shared_key
+from ..operators import (amount, base_features, columns, cross, embedding, encode, frequency, gaps, model, pairs,
+                         profile, shared_key, text_vectors)
 from ..sources import fixtures
 from ..sources.readers import combine
-from . import common
+from . import common, feature_table, scoring
 from .common import finalize, logs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -282,8 +283,6 @@ def q_associated(spark, sf):
     op, trans, base = logs(spark, sf)
     o = pairs.associated_diversity(_op_for_pairs(op), common.OP_PAIR_COLS)
     t = pairs.associated_diversity(trans, common.TRANS_PAIR_COLS)
-    # both logs name amount/ip pairs the same way only for ip/ip, which do not overlap
-    t = t.select("user", *[F.col(c).alias(c) for c in t.columns if c != "user"])
     return base.select("user").join(o, "user", "left").join(t, "user", "left")
 
 
@@ -305,3 +304,140 @@ def q_cross_count_ratio(spark, sf):
     """A29 + A30."""
     df = _cross(spark, sf)
     return _select(df, lambda c: c.endswith("_count") or c.endswith("_count_ratio"))
+
+
+# ---------------------------------------------------------------- T2d
+def _opn(spark, sf):
+    op, _, _ = logs(spark, sf)
+    return op
+
+
+@query("token_counts")
+def q_token_counts(spark, sf):
+    """V1 long form over op_mode, op_type, op_device."""
+    return text_vectors.token_counts(_opn(spark, sf), common.TEXT_COLS)
+
+
+@query("tfidf_weights")
+def q_tfidf_weights(spark, sf):
+    """V2 long form: smooth idf, L2 norm per user and column."""
+    return text_vectors.tfidf_weights(_opn(spark, sf), common.TEXT_COLS)
+
+
+@query("svd_tfidf")
+def q_svd_tfidf(spark, sf):
+    """V3 on TF-IDF weights, 10 components per column (no SQL oracle)."""
+    op = _opn(spark, sf)
+    w = text_vectors.tfidf_weights(op, common.TEXT_COLS)
+    out = op.select("user").distinct()
+    for c in common.TEXT_COLS:
+        out = out.join(text_vectors.svd_components(w, c, 10, f"svd_tfidf_{c}_op"), "user", "left")
+    return out
+
+
+@query("svd_countvec")
+def q_svd_countvec(spark, sf):
+    """V3 on raw counts, 10 components per column (no SQL oracle)."""
+    op = _opn(spark, sf)
+    w = text_vectors.token_counts(op, common.TEXT_COLS)
+    out = op.select("user").distinct()
+    for c in common.TEXT_COLS:
+        out = out.join(text_vectors.svd_components(w, c, 10, f"svd_countvec_{c}_op", value="count"), "user", "left")
+    return out
+
+
+# ---------------------------------------------------------------- T3
+_ENCODED = ["province", "city", "regist_type", "balance", "balance_avg"]
+
+
+@query("label_encode")
+def q_label_encode(spark, sf):
+    """E1 on the user table's text columns."""
+    _, _, base = logs(spark, sf)
+    return encode.label_encode(base.select("user", *_ENCODED), _ENCODED)
+
+
+@query("stratified_fold")
+def q_stratified_fold(spark, sf):
+    """5 folds, seed 0, on the training rows."""
+    _, _, base = logs(spark, sf)
+    return encode.stratified_folds(base.where("label IS NOT NULL").select("user", "label"), 5, 0)
+
+
+def _target(spark, sf):
+    _, _, base = logs(spark, sf)
+    data = base.select("user", "label", "province", "city", "level", "balance_avg").withColumns(
+        {n: encode.compound(a, b, n) for n, (a, b) in scoring.COMPOUNDS.items()})
+    train, test = scoring.split(data)
+    return encode.target_encode(train, test, encode.TARGET_COLS, 5, 0)
+
+
+_TE_COLS = [f"{c}_label_kfold_mean" for c in encode.TARGET_COLS]
+
+
+@query("target_encode_train")
+def q_target_encode_train(spark, sf):
+    """Out-of-fold label means on the training rows."""
+    tr, _ = _target(spark, sf)
+    return tr.select("user", "fold", *_TE_COLS)
+
+
+@query("target_encode_test")
+def q_target_encode_test(spark, sf):
+    """Label means from all training rows on the scoring rows."""
+    _, te = _target(spark, sf)
+    return te.select("user", *_TE_COLS)
+
+
+@query("duplicate_columns")
+def q_duplicate_columns(spark, sf):
+    """U4 on the user table: columns repeating an earlier column."""
+    _, _, base = logs(spark, sf)
+    return columns.duplicate_columns_df(spark, base.drop("label"))
+
+
+@query("seq_embedding")
+def q_seq_embedding(spark, sf):
+    """V5 + V6: 16-dim skip-gram embedding of every user's amount sequence (no SQL oracle)."""
+    _, trans, _ = logs(spark, sf)
+    return embedding.user_embedding(trans, 16, "1_emb_")
+
+
+@query("feature_table")
+def q_feature_table(spark, sf):
+    """The whole feature table of every user (no SQL oracle)."""
+    return feature_table.feature_table(spark, sf)
+
+
+# ---------------------------------------------------------------- T4
+def _model_input(spark, sf):
+    op, trans, base = logs(spark, sf)
+    b = base_features.base_ratios(base.drop("service3_level"))
+    data = (b.join(feature_table.trans_user_block(trans), "user", "left")
+            .join(feature_table.op_user_block(op), "user", "left"))
+    return encode.label_encode(data, encode.string_columns(data))
+
+
+_MODEL_ITER = 20
+
+
+@query("cv_scores")
+def q_cv_scores(spark, sf):
+    """E5 + E6: out-of-fold probabilities of the training rows (no SQL oracle)."""
+    train, test, feats = scoring.prepare(_model_input(spark, sf), 0)
+    return model.cv_fit(train, test, feats, k=5, seed=0, max_iter=_MODEL_ITER).oof
+
+
+@query("seed_ensemble")
+def q_seed_ensemble(spark, sf):
+    """Scoring probabilities averaged over folds and two seeds (no SQL oracle)."""
+    data = _model_input(spark, sf)
+    out, _ = scoring.score_users(spark, sf, seeds=(0, 1), max_iter=_MODEL_ITER, data=data)
+    return out
+
+
+@query("feature_importance")
+def q_feature_importance(spark, sf):
+    """A31 + S4: mean importance per feature over the folds, largest first (no SQL oracle)."""
+    train, test, feats = scoring.prepare(_model_input(spark, sf), 0)
+    return model.mean_importance(model.cv_fit(train, test, feats, k=5, seed=0, max_iter=_MODEL_ITER).importance)

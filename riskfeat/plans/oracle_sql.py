@@ -426,3 +426,67 @@ def _cross_sql(kind: str) -> str:
 
 ORACLES["cross_nunique_entropy"] = _cross_sql("ne")
 ORACLES["cross_count_ratio"] = _cross_sql("cr")
+
+
+# ---------------------------------------------------------------- T2d
+_TOKENS = " UNION ALL ".join(
+    f"SELECT {U}, '{c}' AS col_name, unnest(regexp_extract_all(lower(coalesce({c}, 'nan')), '\\b\\w\\w+\\b')) "
+    f"AS token FROM op_t" for c in common.TEXT_COLS)
+_TC = f"SELECT col_name, {U}, token, count(*) AS n FROM ({_TOKENS}) GROUP BY col_name, {U}, token"
+ORACLES["token_counts"] = with_views(f"SELECT col_name, {U}, token, {i64('n')} AS count FROM tc", [("tc", _TC)])
+ORACLES["tfidf_weights"] = with_views(
+    f"SELECT col_name, {U}, token, {r6('raw / sqrt(sum(raw * raw) OVER (PARTITION BY col_name, ' + U + '))')} "
+    f"AS weight FROM (SELECT tc.*, n * (ln((1 + d.docs) / (1 + f.df)) + 1) AS raw FROM tc "
+    f"JOIN (SELECT col_name, token, count(*) AS df FROM tc GROUP BY col_name, token) f USING (col_name, token) "
+    f"CROSS JOIN (SELECT count(DISTINCT {U}) AS docs FROM op_t) d)", [("tc", _TC)])
+
+# ---------------------------------------------------------------- T3
+_ENC = ["province", "city", "regist_type", "balance", "balance_avg"]
+ORACLES["label_encode"] = with_views(
+    f"SELECT {U}, " + ", ".join(f"{i64(f'dense_rank() OVER (ORDER BY coalesce({c}, {chr(39)}-1{chr(39)})) - 1')} AS {c}"
+                                 for c in _ENC) + " FROM base")
+
+_FOLDS = (f"SELECT *, (row_number() OVER (PARTITION BY label ORDER BY md5(concat(CAST({U} AS VARCHAR), '#', '0')), "
+          f"{U}) - 1) % 5 AS fold FROM base WHERE label IS NOT NULL")
+ORACLES["stratified_fold"] = with_views(f"SELECT {U}, {i64('label')} AS label, {i64('fold')} AS fold FROM f",
+                                        [("f", _FOLDS)])
+
+_TE_VALUES = {
+    "province": "coalesce(province, '-1')",
+    "city": "coalesce(city, '-1')",
+    "city_level": "coalesce(city, '-1') || '_' || CAST(level AS VARCHAR)",
+    "city_balance_avg": "coalesce(city, '-1') || '_' || coalesce(balance_avg, '-1')",
+}
+_TE_SRC = "SELECT *, " + ", ".join(f"{v} AS v_{k}" for k, v in _TE_VALUES.items())
+ORACLES["target_encode_train"] = with_views(
+    f"SELECT t.{U}, {i64('t.fold')} AS fold, " + ", ".join(
+        f"{r6(f'coalesce((SELECT avg(x.label) FROM tf x WHERE x.v_{k} = t.v_{k} AND x.fold <> t.fold), '
+              f'(SELECT avg(label) FROM tf))')} AS {k}_label_kfold_mean" for k in _TE_VALUES) + " FROM tf t",
+    [("f", _FOLDS), ("tf", f"{_TE_SRC} FROM f")])
+ORACLES["target_encode_test"] = with_views(
+    f"SELECT t.{U}, " + ", ".join(
+        f"{r6(f'coalesce((SELECT avg(x.label) FROM tf x WHERE x.v_{k} = t.v_{k}), (SELECT avg(label) FROM tf))')} "
+        f"AS {k}_label_kfold_mean" for k in _TE_VALUES) + " FROM te t",
+    [("f", _FOLDS), ("tf", f"{_TE_SRC} FROM f"), ("te", f"{_TE_SRC} FROM base WHERE label IS NULL")])
+
+
+def _duplicate_sql() -> str:
+    cols = [n for n, _ in BASE_COLUMNS if n not in ("user", "label")]
+    kind = {n: ("s" if _BASE_KINDS.get(n) == "s" else "n") for n in cols}
+
+    def same(a, b):
+        if kind[a] == "s":
+            return f"(SELECT bool_and({a} IS NOT DISTINCT FROM {b}) FROM base)"
+        return f"(SELECT bool_and(CAST({a} AS DOUBLE) IS NOT DISTINCT FROM CAST({b} AS DOUBLE)) FROM base)"
+
+    parts = []
+    for j, b in enumerate(cols):
+        earlier = [a for a in cols[:j] if kind[a] == kind[b]]
+        if not earlier:
+            continue
+        chain = " ".join(f"WHEN {same(a, b)} THEN '{a}'" for a in earlier)
+        parts.append(f"SELECT '{b}' AS \"column\", CASE {chain} END AS duplicate_of")
+    return f"SELECT * FROM ({' UNION ALL '.join(parts)}) WHERE duplicate_of IS NOT NULL"
+
+
+ORACLES["duplicate_columns"] = with_views(_duplicate_sql())

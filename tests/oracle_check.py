@@ -107,12 +107,12 @@ def main():
     for name, fn in qs.items():
         if only and name not in only:
             continue
-        if name not in oracles:
-            t0 = time.time()
-            n = fn(spark, sf_dir).count()
-            print(f"{name:28s} rows {n:6d} (no oracle) {time.time() - t0:5.1f}s", flush=True)
-            continue
         try:
+            if name not in oracles:
+                t0 = time.time()
+                n = fn(spark, sf_dir).count()
+                print(f"{name:28s} rows {n:6d} (no oracle) {time.time() - t0:5.1f}s", flush=True)
+                continue
             if compare(spark, name, fn, oracles[name], sf_dir, con) is False:
                 bad.append(name)
         except Exception as e:  # report and go on
