@@ -16,6 +16,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # shuffle partitions are sized at run time from the data (AQE coalescing
+    # towards ~128 MB); scans split files at 256 MB so a task's input fits
+    # executor memory at any scale
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -43,6 +48,17 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def cluster_conf(total_input_bytes: int, target_partition_bytes: int = 128 * 1024 ** 2) -> dict:
+    """Initial shuffle-partition count for a cluster run: input / ~128 MB.
+
+    AQE then coalesces small partitions and splits skewed ones at run time,
+    so this is an upper bound, not a fixed plan. 100 TB of logs gives about
+    800,000 initial partitions.
+    """
+    n = max(200, total_input_bytes // target_partition_bytes)
+    return {"spark.sql.shuffle.partitions": str(n)}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
