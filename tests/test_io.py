@@ -4,7 +4,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from riskfeat.plans import catalog, scoring
+from riskfeat.plans import catalog, job, scoring
 from riskfeat.sources import fixtures
 from riskfeat.sources.readers import RAW_FILES, combine, load_raw
 
@@ -15,7 +15,7 @@ def _write_csv(df, path):
     df.coalesce(1).write.option("header", True).csv(path)
 
 
-def test_raw_csv_roundtrip(spark):
+def _raw_inputs(spark):
     root = tempfile.mkdtemp(prefix="riskfeat-raw-")
     base = fixtures.base_table(spark, SF).drop("tm_diff")
     op = fixtures.op_log(spark, SF).drop("row_id")
@@ -30,6 +30,11 @@ def test_raw_csv_roundtrip(spark):
     }
     for k, df in parts.items():
         _write_csv(df, f"{root}/{RAW_FILES[k]}")
+    return root, base, op, trans
+
+
+def test_raw_csv_roundtrip(spark):
+    root, base, op, trans = _raw_inputs(spark)
     raw = load_raw(spark, root)
     data, op2, trans2 = combine(raw["label"], raw["train_base"], raw["test_base"],
                                 [raw["train_op"], raw["train_trans"]], [raw["test_op"], raw["test_trans"]])
@@ -49,3 +54,11 @@ def test_scores_written_as_csv(spark):
     assert all(0.0 <= p <= 1.0 for p in probs)
     oof = runs[0].oof.collect()
     assert len({r.user for r in oof}) == len(oof)
+
+
+def test_job_from_raw_csv(spark):
+    root, base, _, _ = _raw_inputs(spark)
+    out = tempfile.mkdtemp(prefix="riskfeat-job-") + "/sub"
+    job.run(spark, root + "/", out, seeds=(0,), k=3, rounds=3, embeddings=False, svd=False)
+    back = spark.read.option("header", True).csv(out)
+    assert back.count() == base.where("label IS NULL").count()
