@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskfeat.llm import quality, toxicity
+from riskfeat.llm import packing, quality, tokens, toxicity
 from riskfeat.llm.common import table
 
 
@@ -18,9 +18,19 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(table(spark, sf_dir, "documents"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op5_toxicity": op5_toxicity,
+    "op8_token_counts": op8_token_counts,
+    "op10_packing": op10_packing,
 }
 
 ORACLES: dict[str, str] = {}

@@ -102,7 +102,7 @@ class SubwordSoftmax:
 
 
 def fit(row: np.ndarray, bucket: np.ndarray, share: np.ndarray, y: np.ndarray, prior: float, epochs: int = 8,
-        batch: int = 64, rate: float = 0.5) -> SubwordSoftmax:
+        batch: int = 64, rate: float = 0.5, scale: float = 50.0) -> SubwordSoftmax:
     """Embeddings (SIZE x DIM) and softmax weights (DIM x 2) by minibatch AdaGrad on the cross entropy."""
     prior = float(np.clip(prior, 1e-4, 1 - 1e-4))
     prior_logit = float(np.log(prior / (1 - prior)))
@@ -126,22 +126,22 @@ def fit(row: np.ndarray, bucket: np.ndarray, share: np.ndarray, y: np.ndarray, p
             j, x = bucket[take], share[take]
             at = np.repeat(np.arange(len(own)), size)
             mean = np.add.reduceat(emb[j] * x[:, None], np.r_[0, np.cumsum(size)[:-1]])
-            z = mean @ w + b
+            z = scale * mean @ w + b
             p = np.exp(z - z.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
             p[np.arange(len(own)), y[own]] -= 1
             p /= len(own)
-            dw, db, dmean = mean.T @ p, p.sum(0), p @ w.T
+            dw, db, dmean = scale * mean.T @ p, p.sum(0), scale * p @ w.T
             u, inv = np.unique(j, return_inverse=True)
             de = np.stack([np.bincount(inv, dmean[at, f] * x, len(u)) for f in range(DIM)], 1).astype(np.float32)
             ge[u] += de * de
             gw += dw * dw
             gb += db * db
-            emb[u] -= rate * 0.2 * de / np.sqrt(ge[u])
-            w -= rate * 0.2 * dw / np.sqrt(gw)
-            b -= rate * 0.2 * db / np.sqrt(gb)
+            emb[u] -= rate * de / np.sqrt(ge[u])
+            w -= rate * dw / np.sqrt(gw)
+            b -= rate * db / np.sqrt(gb)
     seen = float(np.clip(y.mean(), 1e-4, 1 - 1e-4))
-    return SubwordSoftmax((emb @ (w[:, 1] - w[:, 0])).astype(np.float32),
+    return SubwordSoftmax((scale * emb @ (w[:, 1] - w[:, 0])).astype(np.float32),
                           float(b[1] - b[0]) + prior_logit - float(np.log(seen / (1 - seen))))
 
 
