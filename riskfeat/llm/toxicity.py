@@ -4,7 +4,7 @@ Every word (run of letters and digits, lower-cased) gives the hashed byte
 n-grams of 3 to 5 bytes of " word " and itself as a whole; a text is the mean
 of their embeddings, and a linear softmax over that mean gives the two
 classes. Embeddings and softmax are trained jointly (numpy, AdaGrad) on a
-bounded, class-balanced sample, and the intercept is set back to the true class
+bounded sample of each class, and the intercept is set back to the true class
 shares. A misspelt or compounded word shares most of its n-grams with the word
 it comes from.
 
@@ -34,7 +34,8 @@ BUCKET_BITS = 17
 SIZE = 1 << BUCKET_BITS
 DIM = 8
 SIZES = (3, 4, 5)
-MAX_PER_CLASS = 2500
+#: Labelled documents learnt from, at most, of class 0 and of class 1.
+MAX_LABELLED = (4500, 1500)
 THRESHOLD = 0.5
 
 
@@ -101,8 +102,8 @@ class SubwordSoftmax:
         return self.bias + total / np.maximum(count, 1)
 
 
-def fit(row: np.ndarray, bucket: np.ndarray, share: np.ndarray, y: np.ndarray, prior: float, epochs: int = 8,
-        batch: int = 64, rate: float = 0.5, scale: float = 50.0) -> SubwordSoftmax:
+def fit(row: np.ndarray, bucket: np.ndarray, share: np.ndarray, y: np.ndarray, prior: float, epochs: int = 4,
+        batch: int = 32, rate: float = 1.0, scale: float = 20.0) -> SubwordSoftmax:
     """Embeddings (SIZE x DIM) and softmax weights (DIM x 2) by minibatch AdaGrad on the cross entropy."""
     prior = float(np.clip(prior, 1e-4, 1 - 1e-4))
     prior_logit = float(np.log(prior / (1 - prior)))
@@ -146,8 +147,8 @@ def fit(row: np.ndarray, bucket: np.ndarray, share: np.ndarray, y: np.ndarray, p
 
 
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, learn: Column,
-          max_per_class: int = MAX_PER_CLASS) -> SubwordSoftmax:
-    """Fit on at most ``max_per_class`` labelled documents of each class for which ``learn`` holds."""
+          max_labelled: tuple[int, int] = MAX_LABELLED) -> SubwordSoftmax:
+    """Fit on at most ``max_labelled`` labelled documents of class 0 and of class 1 for which ``learn`` holds."""
     def one(batch: pa.RecordBatch):
         data, off = flat(batch.column("text"))
         for a, z in blocks(off):
@@ -163,13 +164,13 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, learn: Column
     sure = (labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(F.col("toxic").isin(0, 1))
             .groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("other"))
             .where("toxic = other"))
-    tables = [arrow_map(labelled(docs, sure.where(F.col("toxic") == c), "toxic", learn, max_per_class, ["text"]), one,
+    tables = [arrow_map(labelled(docs, sure.where(F.col("toxic") == c), "toxic", learn, max_labelled[c], ["text"]), one,
                         "y int, j array<int>, x array<float>").toArrow() for c in (0, 1)]
     t = pa.concat_tables(tables)
     y = t["y"].to_numpy().astype(np.float32)
     j, x = t["j"].combine_chunks(), t["x"].combine_chunks()
     size = np.asarray(j.value_lengths()).astype(np.int64) if len(j) else np.zeros(0, np.int64)
-    return fit(np.repeat(np.arange(len(y)), size), np.asarray(j.flatten()).astype(np.int32),
+    return fit(np.repeat(np.arange(len(y), dtype=np.int32), size), np.asarray(j.flatten()).astype(np.int32),
                np.asarray(x.flatten()).astype(np.float32), y, shares.get(1, 0) / n if n else 0.5)
 
 
@@ -188,9 +189,9 @@ def score(spark: SparkSession, docs: DataFrame, model: SubwordSoftmax, out: str
 
 
 def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, folds: int = 5,
-             threshold: float = THRESHOLD, max_per_class: int = MAX_PER_CLASS) -> DataFrame:
+             threshold: float = THRESHOLD, max_labelled: tuple[int, int] = MAX_LABELLED) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
-    model = train(spark, docs, labels, ~held_out("doc_id", folds), max_per_class)
+    model = train(spark, docs, labels, ~held_out("doc_id", folds), max_labelled)
     return (score(spark, docs, model)
             .select("doc_id", held_out("doc_id", folds).alias("held_out"), "score",
                     (F.col("score") >= threshold).cast("int").alias("predicted")))
