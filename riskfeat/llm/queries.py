@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskfeat.llm import packing, quality, tokens, toxicity
+from riskfeat.llm import near_dedup, packing, quality, tokens, toxicity
 from riskfeat.llm.common import table
 
 
@@ -18,6 +18,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(spark, table(spark, sf_dir, "documents"), size=2).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"))
 
@@ -29,6 +34,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op5_toxicity": op5_toxicity,
+    "op7_near_dedup": op7_near_dedup,
     "op8_token_counts": op8_token_counts,
     "op10_packing": op10_packing,
 }
