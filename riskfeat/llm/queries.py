@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskfeat.llm import near_dedup, packing, quality, tokens, toxicity
+from riskfeat.llm import decontaminate, hmm, impact_index, near_dedup, packing, quality, tokens, toxicity
 from riskfeat.llm.common import table
 
 
@@ -14,10 +15,18 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(spark, table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return impact_index.top_k(spark, table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(spark, table(spark, sf_dir, "documents"), size=2).select(
         "doc_id", "n_shingles", "component_id", "kept")
@@ -27,16 +36,34 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op4_hmm": op4_hmm,
     "op5_toxicity": op5_toxicity,
+    "op6_top_k": op6_top_k,
     "op7_near_dedup": op7_near_dedup,
     "op8_token_counts": op8_token_counts,
+    "op9_decontaminate": op9_decontaminate,
     "op10_packing": op10_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_top_k": """
+        with v as (
+            select distinct vec_id, list_transform(embedding, x -> floor(64 * x::double)) as q
+            from embeddings where vec_id is not null and embedding is not null
+              and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+        s as (
+            select a.vec_id as query_id, b.vec_id, list_dot_product(a.q, b.q)::bigint as score
+            from v a, v b where a.vec_id % 20 = 0 and a.vec_id <> b.vec_id),
+        r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
+        select query_id, rank, vec_id, score from r where rank <= 20""",
+}
