@@ -22,7 +22,7 @@ other columns are ignored.
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections import Counter
 
 import numpy as np
@@ -38,7 +38,7 @@ CAPACITY = 4096
 END_ID = 1
 #: Rows of one length that a task ranks together, at most.
 BLOCK = 512
-NODES = 20_000
+NODES = 1500
 
 Pattern = tuple[tuple[int, int], ...]  # (length, how many), lengths falling
 
@@ -80,99 +80,103 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Pattern, int]]
     return [(p, n) for group in rooms.values() for p, n in group]
 
 
-def fillings(lengths: list[int], counts: dict[int, int], room: int, limit: int) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room``: none fits one more length, a larger length in place of one, or one in place
-    of two. The fullest first."""
-    found: list[tuple[int, ...]] = []
-    steps = 0
+def fillings(rising: list[int], counts: dict[int, int], room: int, limit: int) -> list[tuple[int, ...]]:
+    """At most ``limit`` undominated fillings of ``room``, the fullest first: none takes one more length, a larger length in
+    place of one of its own, or one length in place of two. ``rising``: the lengths there are, ``counts`` how many."""
+    found: set[tuple[int, ...]] = set()
+    steps = 20 * limit
 
-    def grow(k: int, left: int, own: list[int]) -> None:
-        nonlocal steps
-        steps += 1
-        if steps > 20 * limit or len(found) >= 4 * limit:
-            return
-        while k < len(lengths) and lengths[k] > left:
+    def spare(least: int, have: dict[int, int]) -> int:
+        """The smallest length from ``least`` on that is not used up; beyond ``room`` if there is none."""
+        k = bisect_left(rising, least)
+        while k < len(rising) and counts[rising[k]] <= have.get(rising[k], 0):
             k += 1
-        if k == len(lengths):
-            found.append(tuple(own))
+        return rising[k] if k < len(rising) else room + 1
+
+    def undominated(f: tuple[int, ...], left: int) -> bool:
+        have = Counter(f)
+        if spare(1, have) <= left or any(spare(y + 1, have) <= y + left for y in have):
+            return False
+        two = sum(f[-2:])
+        return len(f) < 2 or spare(two, have) > two + left
+
+    def grow(k: int, left: int, own: tuple[int, ...]) -> None:
+        nonlocal steps
+        steps -= 1
+        k = min(k, bisect_right(rising, left) - 1)
+        if k < 0:
+            if undominated(own, left):
+                found.add(own)
             return
-        x = lengths[k]
+        x = rising[k]
         for n in range(min(counts[x], left // x), -1, -1):
-            grow(k + 1, left - n * x, own + [x] * n)
-
-    grow(0, room, [])
-    kept, rising = [], lengths[::-1]
-    for f in found:
-        left, have = room - sum(f), Counter(f)
-        spare = [x for x in rising if counts[x] > have[x]]
-        if spare and spare[0] <= left:
-            continue
-        larger = lambda y: bisect_left(spare, y)
-        if any((k := larger(y + 1)) < len(spare) and spare[k] <= y + left for y in have):
-            continue
-        small = sorted(f)[:2]
-        if len(small) == 2 and (k := larger(sum(small))) < len(spare) and spare[k] <= sum(small) + left:
-            continue
-        kept.append(f)
-    return sorted(set(kept), key=lambda f: -sum(f))[:limit]
+            if steps < 0 or len(found) >= limit:
+                return
+            grow(k - 1, left - n * x, own + (x,) * n)
+
+    grow(len(rising) - 1, room, ())
+    return sorted(found, key=lambda f: (-sum(f), f))
 
 
 def bin_completion(counts: dict[int, int], capacity: int, nodes: int = NODES) -> list[tuple[Pattern, int]]:
-    """Patterns and how often each is used, all pieces placed, in as few sequences as found."""
+    """Patterns and how often each is used, all pieces placed, in as few sequences as found.
+
+    A node of the search fills sequences around the largest length left, with
+    one filling as often as the counts allow.
+    """
     best = best_fit(counts, capacity)
     n_best = sum(n for _, n in best)
     total = sum(x * c for x, c in counts.items())
     # more than half a sequence: no two of them share one
     bound = max(-(-total // capacity), sum(c for x, c in counts.items() if 2 * x > capacity))
-    if n_best <= bound:
-        return best
     state = {x: c for x, c in counts.items() if c}
-    done: list[tuple[Pattern, int]] = []
-    used, waste, left = 0, 0, nodes
-
-    def branch() -> None:
-        nonlocal best, n_best, used, waste, left
-        left -= 1
-        if n_best <= bound or left < 0:
-            return
-        if not state:
-            if used < n_best:
-                best, n_best = list(done), used
-            return
-        lengths = sorted(state, reverse=True)
-        x = lengths[0]
+    rising = sorted(state)
+
+    def take(pattern: Counter, m: int) -> None:
+        for y, c in pattern.items():
+            before = state[y]
+            state[y] = before - m * c
+            if m > 0 and not state[y]:
+                del rising[bisect_left(rising, y)]
+            elif m < 0 and not before:
+                insort(rising, y)
+
+    def options(waste: int) -> list[tuple[Counter, int, int]]:
+        """What a better packing may do next, the worst first: pattern, how often, waste with it."""
+        x = rising[-1]
         state[x] -= 1
-        rest = [y for y in lengths if state[y]]
-        options = fillings(rest, state, capacity - x, 16)
+        rest = rising if state[x] else rising[:-1]
+        found = fillings(rest, state, capacity - x, 16) or [()]
         state[x] += 1
-        for f in options or [()]:
+        out = []
+        for f in reversed(found):
             pattern = Counter((x, *f))
             m = min(state[y] // c for y, c in pattern.items())
-            more = m * (capacity - x - sum(f))
-            # a better packing has at most n_best - 1 sequences, so at most this waste
-            if waste + more > (n_best - 1) * capacity - total:
-                continue
-            for y, c in pattern.items():
-                state[y] -= m * c
-                if not state[y]:
-                    del state[y]
-            done.append((tuple(sorted(pattern.items(), reverse=True)), m))
-            used, waste = used + m, waste + more
-            branch()
-            used, waste = used - m, waste - more
-            done.pop()
-            for y, c in pattern.items():
-                state[y] = state.get(y, 0) + m * c
-            if n_best <= bound or left < 0:
-                return
-
-    import sys
-    deep = sys.getrecursionlimit()
-    sys.setrecursionlimit(max(deep, 4 * len(counts) * 40 + 10_000))
-    try:
-        branch()
-    finally:
-        sys.setrecursionlimit(deep)
+            after = waste + m * (capacity - x - sum(f))
+            if after <= (n_best - 1) * capacity - total:  # else it cannot save a sequence
+                out.append((pattern, m, after))
+        return out
+
+    done: list[tuple[Counter, int]] = []
+    stack = [options(0)] if n_best > bound else []
+    while stack and nodes > 0 and n_best > bound:
+        if not stack[-1]:
+            stack.pop()
+            if done:
+                pattern, m = done.pop()
+                take(pattern, -m)
+            continue
+        nodes -= 1
+        pattern, m, waste = stack[-1].pop()
+        take(pattern, m)
+        done.append((pattern, m))
+        if rising:
+            stack.append(options(waste))
+        else:
+            used = sum(k for _, k in done)
+            if used < n_best:
+                best, n_best = [(tuple(sorted(p.items(), reverse=True)), k) for p, k in done], used
+            stack.append([])
     return best
 
 
@@ -197,7 +201,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, name: str = TOKENIZER, end
         enc, end = Encoder(name), np.array([end_id], "<u4").tobytes()
         row, piece, start, length, crc = [], [], [], [], []
         for k, x in enumerate(b.column("text").to_pylist()):
-            ids = memoryview((enc.ids(x) if x else b"") + end)
+            ids = memoryview((enc.pieces(x) if x else b"") + end)
             for p, s in enumerate(range(0, len(ids), 4 * capacity)):
                 part = ids[s:s + 4 * capacity]
                 row.append(k)

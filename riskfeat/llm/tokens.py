@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import os
 import sys
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ CHUNK = 32_768
 OVERLAP = 256
 #: Tokens on which both sides must agree from the boundary on.
 RUN = 6
-MAX_PIECES = 800_000
+MAX_PIECES = 1_200_000
 MAX_PIECE_BYTES = 256
 TAIL = b".,!?;:"
 SPACE = frozenset(" \t\n\r\x0b\x0c")
@@ -72,20 +73,22 @@ class Encoder:
                 new.append(p)
         new = list(dict.fromkeys(new))
         for x, e in zip(new, self.lib.encode_batch_fast([x.decode() for x in new], add_special_tokens=False), strict=True):
-            known[x] = np.array(e.ids, "<u4").tobytes()
+            known[x] = array("I", e.ids).tobytes()
         for p, core, tail in split:
             known[p] = known[core] + known[tail]
 
     def ids(self, text: str) -> bytes:
-        if len(text) > CHUNK:
-            return encode_huge(text, self.lib)
+        return encode_huge(text, self.lib) if len(text) > CHUNK else self.pieces(text)
+
+    def pieces(self, text: str) -> bytes:
+        """By white-space separated pieces, whatever the length."""
         raw = text.encode()
         if b"<|" not in raw:  # the file lower-cases, but not its special strings
             raw = raw.lower()
         pieces, known = raw.split(), self.known
         if len(known) > MAX_PIECES:
             known.clear()
-        missing = [p for p in set(pieces) if p not in known]
+        missing = set(pieces).difference(known)
         if missing:
             long = [p for p in missing if len(p) > MAX_PIECE_BYTES]
             self._learn([p for p in missing if len(p) <= MAX_PIECE_BYTES])
