@@ -53,14 +53,14 @@ def link(spark: SparkSession, entries: DataFrame, verify: Callable[[DataFrame],
     """
     multi = save(spark, entries.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("other"),
                                                    F.count(F.lit(1)).alias("n")).where("pivot < other"), "buckets")
-    pairs = [save(spark, entries.join(multi.where("n > 2").select("key", "pivot"), "key").where("node <> pivot")
-                  .select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+    # the members of buckets of more than two; a bucket of two is a pair
+    members = save(spark, entries.join(multi.where("n > 2").select("key", "pivot"), "key"), "members")
+    pairs = [save(spark, members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
                   .unionByName(multi.where("n = 2").select(F.col("pivot").alias("a"), F.col("other").alias("b")))
                   .distinct(), "pairs")]
     links = [save(spark, verify(pairs[0]), "links")]
     group = components(spark, links[0])
-    # buckets of two are done with; the others' members
-    rest = save(spark, entries.join(multi.where("n > 2").select("key"), "key").select("key", "node"), "members")
+    rest = members.select("key", "node")
     for k in range(rounds + 1):
         named = rest.join(group, "node", "left").select(
             "key", "node", F.coalesce("component", "node").alias("component"))

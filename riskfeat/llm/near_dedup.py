@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from riskfeat.llm.common import arrow_map, blocks, flat, mix, save, words
 from riskfeat.llm.linking import link
@@ -86,7 +87,8 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, size: int) -> DataFrame:
-    """rid, doc_id, text, n, k1, k2 (128 bits that name the set), bands of every row."""
+    """The columns of ``docs`` with rid, n, k1, k2 (128 bits that name the set), bands of every row."""
+    names = docs.columns
     def one(b: pa.RecordBatch):
         data, off = flat(b.column("text"))
         for a, z in blocks(off):
@@ -98,14 +100,13 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
             bands = pa.ListArray.from_arrays(np.arange(0, (z - a + 1) * BANDS, BANDS, dtype=np.int32),
                                              pa.array(keys.ravel()))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").slice(a, z - a), b.column("text").slice(a, z - a), pa.array(n.astype(np.int64)),
+                [*(b.column(i).slice(a, z - a) for i in range(len(names))), pa.array(n.astype(np.int64)),
                  *(pa.array((c[cut[1:]] - c[cut[:-1]]).view(np.int64)) for c in (c1, c2)), bands],
-                ["doc_id", "text", "n", "k1", "k2", "bands"])
+                [*names, "__n", "__k1", "__k2", "__bands"])
 
-    schema = (docs.select("doc_id", "text").schema.add("n", "long").add("k1", "long").add("k2", "long"))
-    from pyspark.sql.types import ArrayType, LongType
-    return (arrow_map(docs.select("doc_id", "text"), one, schema.add("bands", ArrayType(LongType())))
-            .withColumn("rid", F.monotonically_increasing_id()))
+    schema = docs.select("*").schema.add("__n", "long").add("__k1", "long").add("__k2", "long")
+    return (arrow_map(docs, one, schema.add("__bands", ArrayType(LongType())))
+            .withColumn("__rid", F.monotonically_increasing_id()))
 
 
 def verifier(texts: DataFrame, size: int, percent: int):
@@ -156,9 +157,13 @@ def verifier(texts: DataFrame, size: int, percent: int):
     return verify
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """rid, doc_id, n_shingles, component_id, kept (doc_id = component_id), first (one row of each component)."""
-    rows = save(spark, sketches(docs, size), "sketches")
+def _sketched(spark: SparkSession, docs: DataFrame, size: int) -> DataFrame:
+    return save(spark, sketches(docs, size), "sketches")
+
+
+def _classes(spark: SparkSession, saved: DataFrame, size: int, percent: int) -> DataFrame:
+    """rid, doc_id, n_shingles, component_id, kept, first of every row of a saved table of sketches."""
+    rows = saved.select("doc_id", "text", *[F.col(f"__{c}").alias(c) for c in ("rid", "n", "k1", "k2", "bands")])
     order = F.struct(F.col("doc_id").isNull().alias("no"), F.col("doc_id"), F.col("rid"))
     nodes = save(spark, rows.where("n > 0").groupBy("k1", "k2").agg(
         F.min("rid").alias("node"), F.min(order).alias("low"), F.first("bands").alias("bands")), "nodes")
@@ -176,3 +181,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, size: int = 5, percent
                     F.when(F.col("has"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
                     F.coalesce(F.col("first_rid") == F.col("rid"), F.lit(True)).alias("first"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """rid, doc_id, n_shingles, component_id, kept (doc_id = component_id), first (one row of each component)."""
+    return _classes(spark, _sketched(spark, docs.select("doc_id", "text"), size), size, percent)
+
+
+def clean(spark: SparkSession, docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """``docs``, all columns, with the first row of each component only."""
+    saved = _sketched(spark, docs, size)
+    gone = save(spark, _classes(spark, saved, size, percent).where("not first").select(F.col("rid").alias("__rid")), "gone")
+    return saved.join(gone, "__rid", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfeat.llm import decontaminate, hmm, impact_index, near_dedup, packing, quality, reply_trees, tokens, toxicity
+from riskfeat.llm import decontaminate, hmm, impact_index, line_dedup, near_dedup, packing, quality, reply_trees, tokens, toxicity
 from riskfeat.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op2_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reply_trees.digests(reply_trees.conversations(spark, messages))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(spark, table(spark, sf_dir, "documents"))
+
+
 def op4_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score(spark, table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_reply_trees": op2_reply_trees,
+    "op3_line_dedup": op3_line_dedup,
     "op4_hmm": op4_hmm,
     "op5_toxicity": op5_toxicity,
     "op6_top_k": op6_top_k,
