@@ -113,9 +113,9 @@ class Machine:
         return self.w0 + np.add.reduceat(self.w[idx] * x, start) + 0.5 * ((s * s).sum(1) - q)
 
 
-def fit(rows: np.ndarray, idx: np.ndarray, x: np.ndarray, y: np.ndarray, epochs: int = 6, batch: int = 64,
+def fit(rows: np.ndarray, idx: np.ndarray, x: np.ndarray, y: np.ndarray, steps: int = 750, batch: int = 64,
         rate: float = 0.1, decay: float = 1e-4) -> Machine:
-    """AdaGrad on the log loss over minibatches; rows 0 .. len(y) - 1 in order."""
+    """AdaGrad on the log loss over minibatches, about ``steps`` of them (3 to 60 times all); rows 0 .. len(y) - 1 in order."""
     rng = np.random.default_rng(7)
     m = Machine(0.0, np.zeros(SIZE, np.float32), rng.normal(0, 0.05, (SIZE, RANK)).astype(np.float32))
     if not len(y) or y.min() == y.max():
@@ -126,7 +126,7 @@ def fit(rows: np.ndarray, idx: np.ndarray, x: np.ndarray, y: np.ndarray, epochs:
     m.w0 = float(np.log(y.mean() / (1 - y.mean())))
     g0, gw, gv = 1.0, np.ones(SIZE, np.float32), np.ones((SIZE, RANK), np.float32)
     start = np.searchsorted(rows, np.arange(len(y) + 1))
-    for _ in range(epochs):
+    for _ in range(int(np.clip(steps * batch // len(y), 3, 60))):
         order = rng.permutation(len(y))
         for i in range(0, len(order), batch):
             own = order[i:i + batch]

@@ -102,7 +102,7 @@ class SubwordSoftmax:
         return self.bias + total / np.maximum(count, 1)
 
 
-def fit(row: np.ndarray, bucket: np.ndarray, share: np.ndarray, y: np.ndarray, prior: float, epochs: int = 4,
+def fit(row: np.ndarray, bucket: np.ndarray, share: np.ndarray, y: np.ndarray, prior: float, steps: int = 750,
         batch: int = 32, rate: float = 1.0, scale: float = 20.0) -> SubwordSoftmax:
     """Embeddings (SIZE x DIM) and softmax weights (DIM x 2) by minibatch AdaGrad on the cross entropy."""
     prior = float(np.clip(prior, 1e-4, 1 - 1e-4))
@@ -115,7 +115,7 @@ def fit(row: np.ndarray, bucket: np.ndarray, share: np.ndarray, y: np.ndarray, p
     ge, gw, gb = np.full((SIZE, DIM), 1e-6, np.float32), np.full((DIM, 2), 1e-2, np.float32), np.full(2, 1e-2, np.float32)
     start = np.searchsorted(row, np.arange(len(y) + 1))
     y = y.astype(np.int64)
-    for _ in range(epochs):
+    for _ in range(int(np.clip(steps * batch // len(y), 3, 8))):
         order = rng.permutation(len(y))
         for i in range(0, len(order), batch):
             own = order[i:i + batch]
