@@ -1,14 +1,16 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Words are runs of letters and digits, lower-cased, so case and signs do not
-hide a copy. Every benchmark item's n-grams of ``SEED`` words are counted over the whole
-corpus; the rarer half of them (``FEWEST`` at least) are the item's seeds. Where
+hide a copy. Every benchmark word is counted over the whole corpus. An n-gram of ``SEED``
+words is rare if its words would meet by chance at no more than ``RARE`` of all places;
+an item's rare n-grams (its ``FEWEST`` rarest at least) are its seeds. Copies do not make
+their own seeds common, so an item that leaked into every document is still found. Where
 a text hits seeds of an item, the stretch of the text around the hits is aligned
 with the whole item (match 2, mismatch and gap -1); the score over its highest
 possible value tells exact and edited copies (1.0 down to ``THRESHOLD``) from chance.
 
 The benchmark is taken in parts of bounded size, each broadcast to one narrow
-pass over the corpus; nothing of the corpus is shuffled but seed counts.
+pass over the corpus; nothing of the corpus is shuffled but word counts.
 
 Defined cases: null, empty or shorter texts hit nothing; null items and those of fewer than
 ``SEED`` words have no seeds and are never found; repeated items are found
@@ -29,6 +31,7 @@ from pyspark.sql import functions as F
 from riskfeat.llm.common import blocks, flat, hash_spans, lower, mix, spans
 
 SEED = 3
+RARE = 1e-7
 FEWEST = 8
 THRESHOLD = 0.5
 #: Bytes of benchmark text that one pass over the corpus looks for.
@@ -76,13 +79,15 @@ class Items:
         return self
 
     def seeds(self, known: np.ndarray, count: np.ndarray) -> None:
-        """Keep the rarer half of each item's n-grams, given how often each known one stands in the corpus."""
-        k = np.searchsorted(known, self.gram)
-        often = count[np.minimum(k, len(known) - 1)] if len(known) else np.zeros(len(self.gram))
-        order = np.lexsort((self.place, often, self.item))
+        """Keep the rare n-grams of each item, given how often each known word stands in the corpus (the last count: all words)."""
+        share = (count[:-1] + 1) / (count[-1] + 1)
+        chance = np.zeros(len(self.gram))
+        for k in range(SEED):
+            word = np.array([self.words[i][p + k] for i, p in zip(self.item, self.place, strict=True)], np.uint64)
+            chance += np.log(share[np.searchsorted(known, word)])
+        order = np.lexsort((self.place, chance, self.item))
         first = np.searchsorted(self.item[order], self.item[order])
-        total = np.bincount(self.item, minlength=len(self.words))[self.item[order]]
-        order = order[np.arange(len(order)) - first < np.maximum(FEWEST, -(-total // 2))]
+        order = order[(np.arange(len(order)) - first < FEWEST) | (chance[order] <= np.log(RARE))]
         order = order[np.argsort(self.gram[order], kind="stable")]
         self.gram, self.item, self.place = self.gram[order], self.item[order], self.place[order]
 
@@ -174,9 +179,10 @@ def parts(benchmark: DataFrame) -> Iterator[tuple[list, list[str]]]:
 
 
 def seeded(spark: SparkSession, docs: DataFrame, texts: list[str]) -> tuple:
-    """The parts of the Items, with their seeds; the n-grams are counted over all documents."""
+    """The parts of the Items, with their seeds; their words are counted over all documents."""
     items = Items(texts)
-    shared = spark.sparkContext.broadcast(np.unique(items.gram))
+    known = np.unique(np.concatenate([*items.words, np.zeros(0, np.uint64)]))
+    shared = spark.sparkContext.broadcast(known)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
@@ -184,17 +190,17 @@ def seeded(spark: SparkSession, docs: DataFrame, texts: list[str]) -> tuple:
         for b in batches:
             data, off = flat(b.column("text"))
             for a, z in blocks(off):
-                _, g = grams(*word_hashes(data[off[a]:off[z]], off[a:z + 1] - off[a]))
-                k = np.minimum(np.searchsorted(known, g), len(known) - 1)
-                total += np.bincount(np.where(known[k] == g, k, len(known)), minlength=len(known) + 1)
-        slot = np.flatnonzero(total[:-1])
+                _, h = word_hashes(data[off[a]:off[z]], off[a:z + 1] - off[a])
+                k = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                total += np.bincount(np.where(known[k] == h, k, len(known)), minlength=len(known) + 1)
+        slot = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(slot, pa.int32()), pa.array(total[slot])], ["slot", "n"])
 
-    known = shared.value
-    n = np.zeros(len(known), np.int64)
+    n = np.zeros(len(known) + 1, np.int64)
     if len(known):
         got = docs.select("text").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
         n[got["slot"].to_numpy()] = got["n"].to_numpy()
+    n[-1] = n.sum()
     items.seeds(known, n)
     return items.words, items.gram, items.item, items.place
 
