@@ -44,12 +44,14 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
                  .unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "star")
 
 
-def link(spark: SparkSession, entries: DataFrame, verify: Callable[[DataFrame], DataFrame],
-         rounds: int = 2) -> DataFrame:
+def link(spark: SparkSession, entries: DataFrame, prepare: Callable[[DataFrame], Callable[[DataFrame], DataFrame]],
+         rounds: int = 1) -> DataFrame:
     """node, component of every node with a link.
 
-    ``entries``: key, node (long). ``verify``: of pairs (a, b: long, a < b) those linked.
-    Every pair of nodes that share a key ends up verified or in one component.
+    ``entries``: key, node (long). ``prepare`` gets the nodes that share any
+    bucket (node, distinct) and returns a function that tells of pairs (a, b:
+    long) those linked. Every pair of nodes that share a key ends up verified
+    or in one component.
     """
     multi = save(spark, entries.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("other"),
                                                    F.count(F.lit(1)).alias("n")).where("pivot < other"), "buckets")
@@ -58,6 +60,7 @@ def link(spark: SparkSession, entries: DataFrame, verify: Callable[[DataFrame],
     pairs = [save(spark, members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
                   .unionByName(multi.where("n = 2").select(F.col("pivot").alias("a"), F.col("other").alias("b")))
                   .distinct(), "pairs")]
+    verify = prepare(pairs[0].select(F.col("a").alias("node")).unionByName(pairs[0].select(F.col("b").alias("node"))).distinct())
     links = [save(spark, verify(pairs[0]), "links")]
     group = components(spark, links[0])
     rest = members.select("key", "node")
@@ -90,8 +93,6 @@ def link(spark: SparkSession, entries: DataFrame, verify: Callable[[DataFrame],
         pairs.append(found)
         links.append(save(spark, verify(found), "links"))
         if not links[-1].isEmpty():
-            all_links = links[0]
-            for x in links[1:]:
-                all_links = all_links.unionByName(x)
-            group = components(spark, all_links)
+            # the components found so far stand for the links before
+            group = components(spark, links[-1].unionByName(group.select(F.col("node").alias("a"), F.col("component").alias("b"))))
     return group

@@ -109,8 +109,8 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
             .withColumn("__rid", F.monotonically_increasing_id()))
 
 
-def verifier(texts: DataFrame, size: int, percent: int):
-    """Of pairs (a, b) those with 100 * intersection >= percent * union of their texts' full sets.
+def verifier(all_texts: DataFrame, size: int, percent: int):
+    """For ``link``: of pairs (a, b) those with 100 * intersection >= percent * union of their texts' full sets.
 
     The candidates of a pivot are dealt out in chunks; a task reads a chunk's
     pivot, then its candidates one after the other.
@@ -140,8 +140,12 @@ def verifier(texts: DataFrame, size: int, percent: int):
             yield pa.RecordBatch.from_arrays([b.column("a").take(pa.array(found, pa.int64())),
                                               b.column("b").take(pa.array(found, pa.int64()))], ["a", "b"])
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        spark = pairs.sparkSession
+    def prepare(nodes: DataFrame):
+        spark = nodes.sparkSession
+        texts = save(spark, all_texts.join(nodes.select(F.col("node").alias("rid")), "rid"), "texts")
+        return lambda pairs: verify(spark, pairs, texts)
+
+    def verify(spark: SparkSession, pairs: DataFrame, texts: DataFrame) -> DataFrame:
         n = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
         n = save(spark, n.where(F.col("n") > CHUNK), "large")
         pairs = (pairs.join(n, "a", "left")
@@ -154,7 +158,7 @@ def verifier(texts: DataFrame, size: int, percent: int):
         return (rows.repartition("a", "chunk").sortWithinPartitions("a", "chunk", "b")
                 .mapInArrow(check, "a long, b long"))
 
-    return verify
+    return prepare
 
 
 def _sketched(spark: SparkSession, docs: DataFrame, size: int) -> DataFrame:
