@@ -1,8 +1,8 @@
 """Time parts of the elapsed-time text ``'<day> <word> HH:MM:SS.frac'`` (P1-P4, bands).
 
 All parts come from one regular expression evaluated JVM-side; no UDF. A
-value that does not match gives null parts (``try_cast``) instead of failing
-the job.
+value that does not match gives null parts; ``require_time_parts`` counts such
+values and raises, before they reach any block.
 """
 
 from __future__ import annotations
@@ -62,3 +62,11 @@ def with_time_parts(df: DataFrame, col: str = "tm_diff") -> DataFrame:
                 "half_month": F.pmod(F.col("days_diff"), F.lit(15)),
                 "band": band_of(F.col("hour")),
             }))
+
+
+def require_time_parts(df: DataFrame, col: str = "tm_diff") -> DataFrame:
+    """``df``, if every ``col`` of it has the layout; else an error with their number (one pass)."""
+    bad = df.where(day_of(col).isNull() | hour_of(col).isNull() | minute_of(col).isNull() | second_of(col).isNull()).count()
+    if bad:
+        raise ValueError(f"{bad} values of {col} are not of the form '<day> <word> HH:MM:SS'")
+    return df

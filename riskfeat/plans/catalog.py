@@ -7,6 +7,7 @@ oracle of ``oracle_sql.py``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +15,9 @@ from pyspark.sql import functions as F
 
 from ..operators import (amount, base_features, columns, cross, embedding, encode, frequency, gaps, model, pairs,
                          profile, shared_key, text_vectors)
+from ..session import checkpoint_dir
 from ..sources import fixtures
-from ..sources.readers import combine
+from ..sources.readers import combine, parse_as
 from . import common, feature_table, scoring
 from .common import finalize, logs
 
@@ -396,6 +398,33 @@ def q_duplicate_columns(spark, sf):
     return columns.duplicate_columns_df(spark, base.drop("label"))
 
 
+@query("seq_sentences")
+def q_seq_sentences(spark, sf):
+    """O3 + F5 + V7: place of every amount in its user's sequence, for the five selections."""
+    _, trans, _ = logs(spark, sf)
+    parts = []
+    for n, cond, _ in embedding.SELECTIONS:
+        rows = trans if cond is None else trans.where(cond)
+        parts.append(embedding.sequence(rows).select(
+            F.lit(n).alias("selection"), "user", "run", "position",
+            F.expr("try_cast(nullif(token, 'nan') as double)").alias("token")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("typed_text")
+def q_typed_text(spark, sf):
+    """Text columns of a log read as numbers, whole numbers also where written as ``3.0``."""
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    text = li.select(F.col("l_orderkey"), F.col("l_linenumber").cast("string").alias("line"),
+                     F.col("l_quantity").cast("double").cast("string").alias("quantity"),
+                     F.when(F.col("l_linenumber") > 1, F.col("l_discount").cast("string")).alias("discount"))
+    types = {"line": "bigint", "quantity": "bigint", "discount": "double"}
+    return text.select("l_orderkey", *[parse_as(c, t).alias(c) for c, t in types.items()])
+
+
 @query("seq_embedding")
 def q_seq_embedding(spark, sf):
     """V5 + V6: 16-dim skip-gram embedding of every user's amount sequence (no SQL oracle)."""
@@ -410,12 +439,17 @@ def q_feature_table(spark, sf):
 
 
 # ---------------------------------------------------------------- T4
+_TABLES: dict[tuple[str, str], str] = {}
+
+
 def _model_input(spark, sf):
-    op, trans, base = logs(spark, sf)
-    b = base_features.base_ratios(base.drop("service3_level"))
-    data = (b.join(feature_table.trans_user_block(trans), "user", "left")
-            .join(feature_table.op_user_block(op), "user", "left"))
-    return encode.label_encode(data, encode.string_columns(data))
+    """The whole feature table; written once for a session and input, and read back by the queries below."""
+    at = (spark.sparkContext.applicationId, sf)
+    if at not in _TABLES:
+        path = f"{checkpoint_dir(spark).rstrip('/')}/model-input-{uuid.uuid4().hex}"
+        feature_table.feature_table(spark, sf).write.parquet(path)
+        _TABLES[at] = path
+    return spark.read.parquet(_TABLES[at])
 
 
 _MODEL_ITER = 20

@@ -490,3 +490,15 @@ def _duplicate_sql() -> str:
 
 
 ORACLES["duplicate_columns"] = with_views(_duplicate_sql())
+
+# ---------------------------------------------------------------- sequences and typed text
+ORACLES["seq_sentences"] = with_views(" UNION ALL ".join(
+    f"SELECT CAST({n} AS BIGINT) AS selection, {U}, position // 10000 AS run, position, token FROM ("
+    f"SELECT {U}, row_number() OVER (PARTITION BY {U} ORDER BY days_diff, hour, minute, row_id) - 1 AS position, "
+    f"{r6('amount')} AS token FROM trans_t{where})"
+    for n, where in ((1, ""), (2, " WHERE days_diff > 27"), (3, " WHERE days_diff > 23"),
+                     (4, " WHERE hour BETWEEN 7 AND 15"), (5, " WHERE days_diff > 15"))))
+ORACLES["typed_text"] = (
+    "SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS BIGINT) AS line, "
+    "CASE WHEN l_quantity = floor(l_quantity) THEN CAST(l_quantity AS BIGINT) END AS quantity, "
+    f"CASE WHEN l_linenumber > 1 THEN {r6('l_discount')} END AS discount FROM lineitem")

@@ -7,7 +7,7 @@ schema (no ``inferSchema`` pass over the data) and concatenated by name.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,26 +48,53 @@ _BASE_FIELDS = [
 BASE_SCHEMA = T.StructType([T.StructField(n, t) for n, t in _BASE_FIELDS])
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def parse_as(col: str, kind: T.DataType | str) -> Column:
+    """Text as ``kind``; whole-number kinds also take ``3.0``. Null where the text is no such value."""
+    kind = kind.simpleString() if isinstance(kind, T.DataType) else kind
+    text = F.trim(F.col(f"`{col}`"))
+    plain = text.try_cast(kind)
+    if kind not in ("int", "bigint", "smallint", "tinyint"):
+        return plain
+    number = text.try_cast("double")
+    return F.coalesce(plain, F.when(number == F.floor(number), number.try_cast(kind)))
+
+
+def unreadable(raw: DataFrame, types: dict[str, T.DataType]) -> dict[str, int]:
+    """How many values of each typed column are text that is neither empty nor such a value (one pass)."""
+    typed = [c for c in raw.columns if c in types and types[c] != S]
+    if not typed:
+        return {}
+    bad = raw.agg(*[F.count(F.when((F.trim(F.col(f"`{c}`")) != "") & parse_as(c, types[c]).isNull(), 1)).alias(c)
+                    for c in typed]).first()
+    return {c: bad[c] for c in typed if bad[c]}
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, overrides: dict[str, T.DataType] | None = None,
+             allow_unreadable: bool = False) -> DataFrame:
     """Header CSV; declared columns are typed by *name*, so column order is free.
 
-    Without ``inferSchema`` every column is read as text (no extra pass over
-    the data); the declared ones are then cast with ``try_cast`` (a dirty value
-    becomes null), undeclared ones stay text.
+    Every column is read as text; the declared ones are then typed
+    (``parse_as``: ``3.0`` is a whole number), undeclared ones stay text.
+    ``overrides`` replaces declared types, e.g. ``{"level": StringType()}``.
+    Values that cannot be read are counted and the read fails with column and
+    count; with ``allow_unreadable`` they become null.
     """
     raw = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
-    types = {f.name: f.dataType for f in schema.fields}
-    return raw.select(*[(F.col(c).try_cast(types[c]) if c in types and types[c] != S else F.col(c)).alias(c)
+    types = {f.name: f.dataType for f in schema.fields} | (overrides or {})
+    if not allow_unreadable and (bad := unreadable(raw, types)):
+        raise ValueError(f"{path}: unreadable values (column: count) {bad}; give the column another type or allow them")
+    return raw.select(*[(parse_as(c, types[c]) if c in types and types[c] != S else F.col(f"`{c}`")).alias(c)
                         for c in raw.columns])
 
 
-def load_raw(spark: SparkSession, data_path: str) -> dict[str, DataFrame]:
-    """The seven raw inputs as DataFrames (lazy; nothing is read yet)."""
+def load_raw(spark: SparkSession, data_path: str, overrides: dict[str, T.DataType] | None = None,
+             allow_unreadable: bool = False) -> dict[str, DataFrame]:
+    """The seven raw inputs as DataFrames. ``overrides`` holds for every file with such a column."""
     schemas = {"label": LABEL_SCHEMA, "train_base": BASE_SCHEMA, "test_base": BASE_SCHEMA,
                "train_op": OP_SCHEMA, "test_op": OP_SCHEMA, "train_trans": TRANS_SCHEMA,
                "test_trans": TRANS_SCHEMA}
     root = data_path.rstrip("/")
-    return {k: read_csv(spark, f"{root}/{f}", schemas[k]) for k, f in RAW_FILES.items()}
+    return {k: read_csv(spark, f"{root}/{f}", schemas[k], overrides, allow_unreadable) for k, f in RAW_FILES.items()}
 
 
 def combine(label: DataFrame, train_base: DataFrame, test_base: DataFrame,
