@@ -1,11 +1,11 @@
 """From band buckets to components, with no bucket ever held or paired as a whole.
 
 ``link`` compares each member of a bucket with one pivot, joins what is linked,
-and goes on with a new pivot for the members of other components only; what is
-left after ``rounds`` pivots (members that no pivot is linked with) is compared
-across components. A bucket of n copies costs n comparisons. Components are
-found by alternating large-star and small-star steps, so long chains take a
-logarithmic number of them.
+and goes on with a new pivot for the members of other components only. Buckets
+that still hold several components then go to the operator's ``finish``, which
+compares across components and returns links only, not the pairs it has compared. A
+bucket of n copies costs n comparisons. Components are found by alternating
+large-star and small-star steps, so long chains take a logarithmic number of them.
 """
 
 from __future__ import annotations
@@ -44,55 +44,46 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
                  .unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "star")
 
 
-def link(spark: SparkSession, entries: DataFrame, prepare: Callable[[DataFrame], Callable[[DataFrame], DataFrame]],
+def link(spark: SparkSession, entries: DataFrame, prepare: Callable[[DataFrame], tuple[Callable, Callable]],
          rounds: int = 1) -> DataFrame:
     """node, component of every node with a link.
 
     ``entries``: key, node (long). ``prepare`` gets the nodes that share any
-    bucket (node, distinct) and returns a function that tells of pairs (a, b:
-    long) those linked. Every pair of nodes that share a key ends up verified
-    or in one component.
+    bucket (node, distinct) and returns two functions: ``verify`` tells of pairs
+    (a, b: long) those linked; ``finish`` gets the members (key, node,
+    component) of buckets of several components and returns links (a, b) that join all
+    components with linked members. So every pair of nodes that share a key ends up
+    compared or in one component.
     """
     multi = save(spark, entries.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("other"),
                                                    F.count(F.lit(1)).alias("n")).where("pivot < other"), "buckets")
     # the members of buckets of more than two; a bucket of two is a pair
     members = save(spark, entries.join(multi.where("n > 2").select("key", "pivot"), "key"), "members")
-    pairs = [save(spark, members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-                  .unionByName(multi.where("n = 2").select(F.col("pivot").alias("a"), F.col("other").alias("b")))
-                  .distinct(), "pairs")]
-    verify = prepare(pairs[0].select(F.col("a").alias("node")).unionByName(pairs[0].select(F.col("b").alias("node"))).distinct())
-    links = [save(spark, verify(pairs[0]), "links")]
-    group = components(spark, links[0])
+    pairs = save(spark, members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+                 .unionByName(multi.where("n = 2").select(F.col("pivot").alias("a"), F.col("other").alias("b")))
+                 .distinct(), "pairs")
+    verify, finish = prepare(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
+    links = save(spark, verify(pairs), "links")
+    group = components(spark, links)
     rest = members.select("key", "node")
     for k in range(rounds + 1):
-        named = rest.join(group, "node", "left").select(
-            "key", "node", F.coalesce("component", "node").alias("component"))
-        named = save(spark, named, "named")
+        named = save(spark, rest.join(group, "node", "left").select(
+            "key", "node", F.coalesce("component", "node").alias("component")), "named")
         turn = F.xxhash64("node", F.lit(k))
         open_ = save(spark, named.groupBy("key").agg(
             F.min("component").alias("lo"), F.max("component").alias("hi"), F.min_by("node", turn).alias("pivot"),
             F.min_by("component", turn).alias("of")).where("lo < hi").select("key", "pivot", "of"), "open")
         if open_.isEmpty():
             break
+        rest = save(spark, named.join(open_, "key"), "members")
         if k < rounds:
-            rest = save(spark, named.join(open_, "key"), "members")
-            found = rest.where("component <> of").select(F.least("pivot", "node").alias("a"),
-                                                         F.greatest("pivot", "node").alias("b"))
-            rest = rest.select("key", "node")
+            found = save(spark, rest.where("component <> of").select(
+                F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).distinct(), "pairs")
+            links = save(spark, verify(found), "links")
         else:
-            left = save(spark, named.join(open_.select("key"), "key"), "members")
-            right = left.select("key", F.col("node").alias("node2"), F.col("component").alias("component2"))
-            found = left.join(right, "key").where("node < node2 and component <> component2").select(
-                F.col("node").alias("a"), F.col("node2").alias("b"))
-        found = found.distinct()
-        for p in pairs:
-            found = found.join(p, ["a", "b"], "left_anti")
-        found = save(spark, found, "pairs")
-        if found.isEmpty():
-            continue
-        pairs.append(found)
-        links.append(save(spark, verify(found), "links"))
-        if not links[-1].isEmpty():
+            links = save(spark, finish(rest.select("key", "node", "component")), "links")
+        rest = rest.select("key", "node")
+        if not links.isEmpty():
             # the components found so far stand for the links before
-            group = components(spark, links[-1].unionByName(group.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+            group = components(spark, links.unionByName(group.select(F.col("node").alias("a"), F.col("component").alias("b"))))
     return group

@@ -27,12 +27,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
 from riskfeat.llm.common import arrow_map, blocks, flat, mix, save, words
-from riskfeat.llm.linking import link
+from riskfeat.llm.linking import components, link
 
 ROWS, BANDS = 5, 36
 PERMUTATIONS = ROWS * BANDS // 2
 #: Candidates of one pivot that a task verifies together, at most.
 CHUNK = 64
+#: Nodes of a family in a block; a cell compares two blocks.
+BLOCK = 256
 
 _rng = np.random.default_rng(2024)
 _XOR = _rng.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2)
@@ -109,6 +111,81 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
             .withColumn("__rid", F.monotonically_increasing_id()))
 
 
+def intersections(s: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    """(rows, rows) sizes of the intersections of sorted sets: frequent elements by matrix products, rare ones by lists."""
+    m = len(cut) - 1
+    row = np.repeat(np.arange(m), np.diff(cut))
+    order = np.argsort(s, kind="stable")
+    s, row = s[order], row[order]
+    first = np.flatnonzero(np.r_[True, s[1:] != s[:-1]][:len(s)])
+    count = np.diff(np.r_[first, len(s)])
+    out = np.zeros((m, m), np.float32)
+    column = np.repeat(np.arange(len(first)), count)
+    often = count[column] > 16
+    r, c = row[~often], column[~often]
+    pairs = np.zeros(m * m)
+    for d in range(1, 16):
+        same = np.flatnonzero(c[d:] == c[:-d])
+        if not len(same):
+            break
+        pairs += np.bincount(r[same] * m + r[same + d], minlength=m * m)
+    out += (pairs.reshape(m, m) + pairs.reshape(m, m).T).astype(np.float32)
+    r, c = row[often], np.unique(column[often], return_inverse=True)[1]
+    for a in range(0, int(c.max(initial=-1)) + 1, 4096):
+        own = (c >= a) & (c < a + 4096)
+        x = np.zeros((m, 4096), np.float32)
+        x[r[own], c[own] - a] = 1
+        out += x @ x.T
+    return out
+
+
+def finish(spark: SparkSession, members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between components of common buckets.
+
+    Buckets that share members are one family. A family is dealt into blocks of about
+    ``BLOCK`` nodes; a cell compares two blocks (or one with itself) on the full sets,
+    all at once, and returns one link for each two components that have any.
+    """
+    low = save(spark, members.groupBy("key").agg(F.min("node").alias("low")), "low")
+    family = components(spark, members.join(low, "key").select(F.col("node").alias("a"), F.col("low").alias("b")))
+    sizes = family.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    sizes = save(spark, sizes.select(F.col("component").alias("family"), "blocks"), "sizes")
+    nodes = (members.select("node", "component").distinct()
+             .join(family.withColumnRenamed("component", "family"), "node"))
+    cells = save(spark, nodes.join(sizes, "family").withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn(
+        "j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "family", F.least("block", "j").alias("i"), F.greatest("block", "j").alias("j"), "node", "component"), "cells")
+
+    def compare(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+        node, component = (np.array(x) for x in list(zip(*rows, strict=True))[:2])
+        if (component == component[0]).all():
+            return
+        data, off = flat(pa.array([r[2] for r in rows], pa.string()))
+        s, cut = shingles(data, off, size)
+        both, n = intersections(s, cut), np.diff(cut)
+        linked = 100 * both >= percent * (n[:, None] + n[None, :] - both)
+        x, y = np.nonzero(np.triu(linked & (component[:, None] != component[None, :]), 1))
+        if len(x):
+            lo, hi = np.minimum(component[x], component[y]), np.maximum(component[x], component[y])
+            _, at = np.unique(np.stack([lo, hi]), axis=1, return_index=True)
+            yield from zip(node[x[at]].tolist(), node[y[at]].tolist(), strict=True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, rows, found = None, [], []
+        for b in batches:
+            for f, i, j, node, component, text in zip(*(b.column(k).to_pylist() for k in range(6)), strict=True):
+                if (f, i, j) != at:
+                    found += compare(rows) if rows else []
+                    at, rows = (f, i, j), []
+                rows.append((node, component, text))
+        found += compare(rows) if rows else []
+        yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return (cells.join(texts, cells.node == texts.rid).select("family", "i", "j", "node", "component", "text")
+            .repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "node").mapInArrow(run, "a long, b long"))
+
+
 def verifier(all_texts: DataFrame, size: int, percent: int):
     """For ``link``: of pairs (a, b) those with 100 * intersection >= percent * union of their texts' full sets.
 
@@ -143,7 +220,7 @@ def verifier(all_texts: DataFrame, size: int, percent: int):
     def prepare(nodes: DataFrame):
         spark = nodes.sparkSession
         texts = save(spark, all_texts.join(nodes.select(F.col("node").alias("rid")), "rid"), "texts")
-        return lambda pairs: verify(spark, pairs, texts)
+        return (lambda pairs: verify(spark, pairs, texts)), (lambda members: finish(spark, members, texts, size, percent))
 
     def verify(spark: SparkSession, pairs: DataFrame, texts: DataFrame) -> DataFrame:
         n = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))

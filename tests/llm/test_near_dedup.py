@@ -97,3 +97,30 @@ def test_minimum_and_maximum_match_with_the_similarity():
     b = np.r_[a[:360], rng.integers(0, 1 << 62, 40).astype(np.uint64)]
     sig = near_dedup.signatures(np.r_[np.sort(a), np.sort(b)], np.array([0, 400, 800]))
     assert abs((sig[0] == sig[1]).mean() - 360 / 440) < 0.12
+
+
+def test_intersections_equal_python_sets():
+    rng = np.random.default_rng(12)
+    sets = [np.unique(rng.integers(0, 60 if k % 2 else 4000, rng.integers(0, 80))).astype(np.uint64) for k in range(70)]
+    cut = np.r_[0, np.cumsum([len(s) for s in sets])]
+    got = near_dedup.intersections(np.concatenate(sets), cut)
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            assert i == j or got[i, j] == len(set(a.tolist()) & set(b.tolist()))
+    assert near_dedup.intersections(np.zeros(0, np.uint64), np.zeros(3, int)).tolist() == [[0, 0], [0, 0]]
+
+
+def test_families_across_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    rng = random.Random(15)
+    word = lambda: "".join(rng.choices("abcdefghij", k=5))
+    base = [word() for _ in range(60)]
+    rows = []
+    for k in range(120):  # about half of the pairs are linked
+        w = list(base)
+        for p in rng.sample(range(60), rng.randrange(1, 5)):
+            w[p] = word()
+        rows.append((k, " ".join(w)))
+    group, _ = brute(rows, 2)
+    r = near_dedup.near_duplicates(spark, documents(spark, rows), 2).toPandas().set_index("doc_id")
+    assert [r.component_id[i] for i, _ in rows] == [rows[g][0] for g in group]
