@@ -25,6 +25,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ from riskfeat.llm.common import held_out, save
 STATES = 8
 HEAVY = 8192
 LIGHT = 1024
-ITERATIONS = 5
+ITERATIONS = 4
 #: Baum-Welch takes longer texts in parts of so many tokens (scores never do).
 PART = 32_768
 #: Texts and tokens that a task recurs over side by side, at most.
@@ -138,11 +139,28 @@ def expected(seqs: list[np.ndarray], start: np.ndarray, trans: np.ndarray, emit:
                 later[:n] = w @ back
             here *= later
         e_start += alpha[:active[0]].sum(0)
-        for s in range(k):
-            e_emit[:, s] += np.bincount(obs, alpha[:, s], len(emit))
+        for s, gamma in enumerate(np.ascontiguousarray(alpha.T)):
+            e_emit[:, s] += np.bincount(obs, gamma, len(emit))
     return e_start, e_trans * trans, e_emit
 
 
+class Classes(dict):
+    """Class number of each word: the frequent ones given, the others by their bytes, a bounded number remembered."""
+
+    def __init__(self, heavy: dict[bytes, int], end: int):
+        super().__init__(heavy)
+        self.heavy, self.end = heavy, end
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 500_000:
+            self.clear()
+            self.update(self.heavy)
+        k = self.end + 1 + light_class(word)
+        if len(word) <= 64:
+            self[word] = k
+        return k
+
+
 class Vocabulary:
     """What the driver knows of the words: the heavy ones, and sums for each class."""
 
@@ -182,7 +200,7 @@ def encode(docs: DataFrame, words: Vocabulary, train: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heavy, end, below, ends = shared.value
-        number = {w: i for w, (i, _) in heavy.items()}
+        number = Classes({w: i for w, (i, _) in heavy.items()}, end)
         log_c = np.zeros(len(below))
         log_c[:end] = np.log10([c + 0.1 for _, c in heavy.values()])
         log_c[end] = np.log10(ends + 0.1)
@@ -190,12 +208,8 @@ def encode(docs: DataFrame, words: Vocabulary, train: str) -> DataFrame:
             seq, light, counts, n, known, own, share = [], [], [], [], [], [], []
             for x in b.column("text").to_pylist():
                 ws = split(x)
-                ids = np.array([number.get(w, -1) for w in ws] + [end], np.int32)
-                rare: Counter = Counter()
-                for p in np.flatnonzero(ids < 0):
-                    w = ws[p]
-                    rare[w] += 1
-                    ids[p] = end + 1 + light_class(w)
+                ids = np.fromiter(chain(map(number.__getitem__, ws), (end,)), np.int32, len(ws) + 1)
+                rare = Counter(compress(ws, (ids > end).tolist()))
                 seq.append(ids.astype("<u2").tobytes())
                 light.append([w.decode() for w in rare])
                 counts.append(list(rare.values()))
