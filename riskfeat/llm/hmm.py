@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfeat.llm.common import held_out, save
+from riskfeat.llm.common import blocks, flat, held_out, save
 
 STATES = 8
 HEAVY = 8192
@@ -41,7 +41,7 @@ ITERATIONS = 4
 #: Baum-Welch takes longer texts in parts of so many tokens (scores never do).
 PART = 32_768
 #: Texts and tokens that a task recurs over side by side, at most.
-SIDE_BY_SIDE, TOKENS = 512, 300_000
+SIDE_BY_SIDE, TOKENS = 512, 150_000
 PRIOR = 100.0
 
 
@@ -54,10 +54,16 @@ def light_class(word: bytes) -> int:
     return zlib.crc32(word[:2] + word[-2:]) % LIGHT
 
 
+def parts(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about ``size`` bytes of text: what a task holds as Python objects at a time."""
+    for a, z in blocks(flat(batch.column("text"))[1], size):
+        yield batch.slice(a, z - a)
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """word, c over all texts."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for whole in batches for part in parts(whole, 8_000_000)):
             own: Counter = Counter()
             for x in b.column("text").to_pylist():
                 own.update(split(x))
@@ -152,7 +158,7 @@ class Classes(dict):
         self.heavy, self.end = heavy, end
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
             self.update(self.heavy)
         k = self.end + 1 + light_class(word)
@@ -204,7 +210,7 @@ def encode(docs: DataFrame, words: Vocabulary, train: str) -> DataFrame:
         log_c = np.zeros(len(below))
         log_c[:end] = np.log10([c + 0.1 for _, c in heavy.values()])
         log_c[end] = np.log10(ends + 0.1)
-        for b in batches:
+        for b in (part for whole in batches for part in parts(whole, 2_000_000)):
             seq, light, counts, n, known, own, share = [], [], [], [], [], [], []
             for x in b.column("text").to_pylist():
                 ws = split(x)
