@@ -66,8 +66,3 @@ _STAT_FUNCS: dict[str, Callable[[Column], Column]] = {
 
 def stat(name: str, c: str | Column) -> Column:
     return _STAT_FUNCS[name](col_(c))
-
-
-def stat_exprs(c: str | Column, stats: Iterable[str], name: Callable[[str], str]) -> list[Column]:
-    """One aliased aggregate per statistic, e.g. ``stat_exprs('x', STATS4, 'x_{}'.format)``."""
-    return [stat(s, c).alias(name(s)) for s in stats]

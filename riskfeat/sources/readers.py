@@ -35,14 +35,14 @@ TRANS_SCHEMA = T.StructType([
     T.StructField("ip", S), T.StructField("type2", S)])
 
 _BASE_FIELDS = [
-    ("user", S), ("sex", S), ("age", D), ("provider", S), ("level", L), ("verified", S),
+    ("user", S), ("age", D), ("level", L),
     ("using_time", D), ("regist_type", S), ("card_a_cnt", L), ("card_b_cnt", L), ("card_c_cnt", L),
-    ("agreement1", S), ("op1_cnt", L), ("op2_cnt", L), ("card_d_cnt", L), ("agreement_total", L),
-    ("service1_cnt", L), ("service1_amt", D), ("agreement2", S), ("service2_cnt", L),
+    ("op1_cnt", L), ("op2_cnt", L), ("card_d_cnt", L), ("agreement_total", L),
+    ("service1_cnt", L), ("service1_amt", D), ("service2_cnt", L),
     ("acc_count", L), ("login_cnt_period1", L), ("login_cnt_period2", L), ("ip_cnt", L),
     ("login_cnt_avg", D), ("login_days_cnt", L), ("province", S), ("city", S), ("balance", S),
-    ("balance_avg", S), ("balance1", S), ("balance1_avg", S), ("balance2", S), ("balance2_avg", S),
-    ("service3", S), ("service3_level", S), ("product1_amount", D), ("product2_amount", D),
+    ("balance_avg", S),
+    ("service3_level", S), ("product1_amount", D), ("product2_amount", D),
     ("product3_amount", D), ("product4_amount", D), ("product5_amount", D), ("product6_amount", D),
     ("product7_cnt", L), ("product7_fail_cnt", L)]
 BASE_SCHEMA = T.StructType([T.StructField(n, t) for n, t in _BASE_FIELDS])
