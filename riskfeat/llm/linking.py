@@ -17,29 +17,33 @@ from pyspark.sql import functions as F
 
 from riskfeat.llm.common import save
 
+#: Edges from which on a step's tables are written one by one.
+LARGE = 1_000_000
+
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """node, component (the smallest node reachable) of each node of ``edges`` (a, b: long), as a saved table.
 
-    Both steps are aggregations and joins on a node; the joined sides are
-    tables of their own, so Spark splits a node of very many edges.
+    Both steps are aggregations and joins on a node. From ``LARGE`` edges on the
+    joined sides are written first, so that both are plain exchanges and Spark splits a node
+    of very many edges.
     """
     e = save(spark, edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
              .distinct(), "edges")
-    before = None
     while True:
-        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
+        # done if each node points to one that points nowhere
+        n, nodes = e.agg(F.count(F.lit(1)), F.count_distinct("u")).first()
+        if n == nodes and e.join(e.select(F.col("u").alias("v")), "v", "left_semi").isEmpty():
             return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
                 e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
-        before = now
+        hold = (lambda df, name: save(spark, df, name)) if n > LARGE else (lambda df, name: df)
         # large star: larger neighbours go to the smallest neighbour
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = save(spark, both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "low")
-        big = save(spark, both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                   .where("u <> v").distinct(), "star")
+        low = hold(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "low")
+        big = hold(both.join(low, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                   .distinct(), "star")
         # small star: a node and its smaller neighbours go to the smallest
-        low = save(spark, big.groupBy("u").agg(F.min("v").alias("m")), "low")
+        low = hold(big.groupBy("u").agg(F.min("v").alias("m")), "low")
         e = save(spark, big.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "star")
 
