@@ -22,7 +22,8 @@ HEADLINE = [
     "user_amount_stats", "amount_window_27", "amount_pivot_type1", "time_profile_trans", "op_frequency",
     "amount_gap", "amount_band_gap", "interevent_gap_trans", "shared_key_amount", "shared_key_amount_gap",
     "pair_count", "triple_count", "associated_diversity", "value_frequency", "cross_count_ratio",
-    "tfidf_weights", "stratified_fold", "target_encode_train",
+    "tfidf_weights", "stratified_fold", "target_encode_train", "base_centred", "cross_nunique_entropy",
+    "seq_sentences", "svd_tfidf", "duplicate_columns",
 ]
 
 
