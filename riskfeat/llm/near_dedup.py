@@ -35,6 +35,8 @@ PERMUTATIONS = ROWS * BANDS // 2
 CHUNK = 64
 #: Nodes of a family in a block; a cell compares two blocks.
 BLOCK = 256
+#: Candidate nodes that are broadcast to find their texts, at most (8 bytes each); more are joined by a shuffle.
+BROADCAST_NODES = 4_000_000
 
 _rng = np.random.default_rng(2024)
 _XOR = _rng.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2)
@@ -219,7 +221,9 @@ def verifier(all_texts: DataFrame, size: int, percent: int):
 
     def prepare(nodes: DataFrame):
         spark = nodes.sparkSession
-        texts = save(spark, all_texts.join(nodes.select(F.col("node").alias("rid")), "rid"), "texts")
+        own = save(spark, nodes.select(F.col("node").alias("rid")), "candidates")
+        side = F.broadcast(own) if own.count() <= BROADCAST_NODES else own
+        texts = save(spark, all_texts.join(side, "rid"), "texts")
         return (lambda pairs: verify(spark, pairs, texts)), (lambda members: finish(spark, members, texts, size, percent))
 
     def verify(spark: SparkSession, pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -249,7 +253,7 @@ def _classes(spark: SparkSession, saved: DataFrame, size: int, percent: int) ->
     nodes = save(spark, rows.where("n > 0").groupBy("k1", "k2").agg(
         F.min("rid").alias("node"), F.min(order).alias("low"), F.first("bands").alias("bands")), "nodes")
     entries = nodes.select(F.explode("bands").alias("key"), "node")
-    group = link(spark, entries, verifier(rows.select("rid", "text"), size, percent))
+    group = link(spark, entries, verifier(rows.select("rid", "text"), size, percent), rounds=0)
     named = nodes.select("k1", "k2", "node", "low").join(group, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     named = save(spark, named, "grouped")
