@@ -38,6 +38,8 @@ THRESHOLD = 0.5
 PART_BYTES = 16_000_000
 #: Cells of alignment tables that are filled side by side.
 CELLS = 2_000_000
+#: Seed hits and alignments that a task holds at a time.
+HITS, JOBS = 200_000, 2_000
 
 
 def word_hashes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -137,6 +139,12 @@ def find(items: Items, data: np.ndarray, off: np.ndarray) -> Iterator[tuple[int,
         return
     lo, up = lo[hit], np.searchsorted(items.gram, g[hit], side="right")
     size = up - lo
+    if size.sum() > HITS and len(off) > 2:  # a common seed: fewer rows at a time
+        half = len(off) // 2
+        yield from find(items, data[:off[half]], off[:half + 1])
+        for own, *what in find(items, data[off[half]:], off[half:] - off[half]):
+            yield half + own, *what
+        return
     seed = np.repeat(lo - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
     pos = np.repeat(at[hit], size)
     item, place, r = items.item[seed], items.place[seed], row[pos]
@@ -153,7 +161,17 @@ def find(items: Items, data: np.ndarray, off: np.ndarray) -> Iterator[tuple[int,
     cut = np.searchsorted(row, np.arange(len(off)))
     n_seeds = np.bincount(items.item, minlength=len(items.words))
     jobs, what = [], []
+
+    def judged() -> Iterator[tuple[int, int, float, int]]:
+        for (own, k, n), x in zip(what, align(jobs), strict=True):
+            if x >= THRESHOLD:
+                yield own, k, float(x), n
+        jobs.clear()
+        what.clear()
+
     for s, e in zip(starts, ends, strict=True):
+        if len(jobs) == JOBS:
+            yield from judged()
         k, own = int(item[s]), int(r[s])
         n = len(np.unique(seed[s:e])) if e - s > 1 else 1
         if n < min(2, n_seeds[k]):
@@ -162,9 +180,7 @@ def find(items: Items, data: np.ndarray, off: np.ndarray) -> Iterator[tuple[int,
         b = min(cut[own + 1], begin[e - 1] + length[k] + slack[s])
         jobs.append((items.words[k], h[a:b]))
         what.append((own, k, n))
-    for (own, k, n), x in zip(what, align(jobs), strict=True):
-        if x >= THRESHOLD:
-            yield own, k, float(x), n
+    yield from judged()
 
 
 def parts(benchmark: DataFrame) -> Iterator[tuple[list, list[str]]]:

@@ -94,3 +94,16 @@ def test_parts_of_the_benchmark(spark, monkeypatch, size):
     items = [(k, " ".join(words(rng, 20))) for k in range(10)]
     r = decontaminate.matches(spark, documents(spark, [(k, "intro here " + t) for k, t in items]), bench(spark, items)).collect()
     assert {(x.doc_id, x.item_id) for x in r} == {(k, k) for k in range(10)}
+
+
+def test_common_seeds_are_taken_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "HITS", 3)
+    monkeypatch.setattr(decontaminate, "JOBS", 2)
+    rng = random.Random(9)
+    items = decontaminate.Items([" ".join(words(rng, 12)) for _ in range(6)])
+    items.seeds(np.unique(np.concatenate(items.words)), np.ones(len(np.unique(np.concatenate(items.words))) + 1))
+    rng = random.Random(9)
+    texts = [" ".join(words(rng, 12)) for _ in range(6)]
+    data = np.frombuffer("".join(t + "." for t in texts).encode(), np.uint8)
+    off = np.r_[0, np.cumsum([len(t) + 1 for t in texts])]
+    assert sorted((r, k) for r, k, *_ in decontaminate.find(items, data, off)) == [(k, k) for k in range(6)]
