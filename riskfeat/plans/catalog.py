@@ -443,11 +443,11 @@ _TABLES: dict[tuple[str, str], str] = {}
 
 
 def _model_input(spark, sf):
-    """The whole feature table; written once for a session and input, and read back by the queries below."""
+    """The feature table without its SVD and embedding blocks; written once for a session and input, and read back below."""
     at = (spark.sparkContext.applicationId, sf)
     if at not in _TABLES:
         path = f"{checkpoint_dir(spark).rstrip('/')}/model-input-{uuid.uuid4().hex}"
-        feature_table.feature_table(spark, sf).write.parquet(path)
+        feature_table.feature_table(spark, sf, embeddings=False, svd=False).write.parquet(path)
         _TABLES[at] = path
     return spark.read.parquet(_TABLES[at])
 

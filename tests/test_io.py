@@ -4,7 +4,8 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from riskfeat.plans import catalog, job, scoring
+from riskfeat.operators import base_features, encode
+from riskfeat.plans import common, feature_table, job, scoring
 from riskfeat.sources import fixtures
 from riskfeat.sources.readers import RAW_FILES, combine, load_raw
 
@@ -43,9 +44,17 @@ def test_raw_csv_roundtrip(spark):
     assert data.where("label IS NULL").count() == base.where("label IS NULL").count()
 
 
+def _small_input(spark):
+    """The user table with two log blocks: enough features to score, quick to build."""
+    op, trans, base = common.logs(spark, SF)
+    data = (base_features.base_ratios(base.drop("service3_level")).join(feature_table.trans_user_block(trans), "user", "left")
+            .join(feature_table.op_user_block(op), "user", "left"))
+    return encode.label_encode(data, encode.string_columns(data))
+
+
 def test_scores_written_as_csv(spark):
     out = tempfile.mkdtemp(prefix="riskfeat-score-") + "/sub"
-    data = catalog._model_input(spark, SF)
+    data = _small_input(spark)
     result, runs = scoring.score_users(spark, SF, seeds=(0,), k=3, max_iter=3, out=out, data=data)
     back = spark.read.option("header", True).csv(out)
     n_test = fixtures.base_table(spark, SF).where("label IS NULL").count()
