@@ -71,10 +71,10 @@ def paths(spark: SparkSession, messages: DataFrame, branches: int | None = None)
         open_ = still
         above = at.select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("score").alias("score2"),
                           F.col("depth").alias("depth2"))
-        at = save(spark, at.join(above, "up", "left").select(
-            "tree", "node", F.col("up2").alias("up"),
-            (F.col("score") + F.coalesce("score2", F.lit(0.0))).alias("score"),
-            (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth")), "steps")
+        on = at.where("up is not null").join(above, "up").select(  # what has reached its root is not joined again
+            "tree", "node", F.col("up2").alias("up"), (F.col("score") + F.col("score2")).alias("score"),
+            (F.col("depth") + F.col("depth2")).alias("depth"))
+        at = save(spark, at.where("up is null").unionByName(on), "steps")
     parents = m.where("parent is not null").select(F.col("parent").alias("node")).distinct()
     leaves = at.where("up is null").join(parents, "node", "left_anti")
     rank = F.row_number().over(W.partitionBy("tree").orderBy(
