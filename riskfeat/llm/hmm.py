@@ -37,7 +37,7 @@ from riskfeat.llm.common import blocks, flat, held_out, save
 STATES = 8
 HEAVY = 8192
 LIGHT = 1024
-ITERATIONS = 4
+ITERATIONS = 5
 #: Baum-Welch takes longer texts in parts of so many tokens (scores never do).
 PART = 32_768
 #: Texts and tokens that a task recurs over side by side, at most.
