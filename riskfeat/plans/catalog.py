@@ -7,7 +7,6 @@ oracle of ``oracle_sql.py``.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +14,6 @@ from pyspark.sql import functions as F
 
 from ..operators import (amount, base_features, columns, cross, embedding, encode, frequency, gaps, model, pairs,
                          profile, shared_key, text_vectors)
-from ..session import checkpoint_dir
 from ..sources import fixtures
 from ..sources.readers import combine, parse_as
 from . import common, feature_table, scoring
@@ -439,19 +437,6 @@ def q_feature_table(spark, sf):
 
 
 # ---------------------------------------------------------------- T4
-_TABLES: dict[tuple[str, str], str] = {}
-
-
-def _model_input(spark, sf):
-    """The whole feature table; written once for a session and input, and read back by the queries below."""
-    at = (spark.sparkContext.applicationId, sf)
-    if at not in _TABLES:
-        path = f"{checkpoint_dir(spark).rstrip('/')}/model-input-{uuid.uuid4().hex}"
-        feature_table.feature_table(spark, sf).write.parquet(path)
-        _TABLES[at] = path
-    return spark.read.parquet(_TABLES[at])
-
-
 # Rounds and seeds of the registered model queries: those of job.py.
 _MODEL_ITER = 100
 _SEEDS = (0, 1, 2, 3, 4)
@@ -460,18 +445,12 @@ _SEEDS = (0, 1, 2, 3, 4)
 @query("cv_scores")
 def q_cv_scores(spark, sf):
     """E5 + E6: out-of-fold probabilities of the training rows for each seed (no SQL oracle)."""
-    return _stacked([r.oof.select(F.lit(s).alias("seed"), "user", "fold", "prob") for s, r in zip(_SEEDS, _seed_runs(spark, sf))])
+    return _stacked([r.oof.select(F.lit(s).alias("seed"), "user", "fold", "prob") for s, r in zip(_SEEDS, _job(spark, sf)[1])])
 
 
-_RUNS: dict[tuple[str, str], list[model.CvResult]] = {}
-
-
-def _seed_runs(spark, sf) -> list[model.CvResult]:
-    """The cross-validated fit of each seed, made once for a session and input."""
-    at = (spark.sparkContext.applicationId, sf)
-    if at not in _RUNS:
-        _RUNS[at] = scoring.score_users(spark, sf, seeds=_SEEDS, max_iter=_MODEL_ITER, data=_model_input(spark, sf))[1]
-    return _RUNS[at]
+def _job(spark, sf) -> tuple[DataFrame, list[model.CvResult]]:
+    """The documented job on the whole feature table, run anew for each call; the table is written once and read back."""
+    return scoring.score_users(spark, sf, seeds=_SEEDS, max_iter=_MODEL_ITER, data=feature_table.feature_table(spark, sf))
 
 
 def _stacked(parts: list[DataFrame]) -> DataFrame:
@@ -484,11 +463,10 @@ def _stacked(parts: list[DataFrame]) -> DataFrame:
 @query("seed_ensemble")
 def q_seed_ensemble(spark, sf):
     """Scoring probabilities averaged over folds and five seeds (no SQL oracle)."""
-    out, _ = scoring.score_users(spark, sf, seeds=_SEEDS, max_iter=_MODEL_ITER, data=_model_input(spark, sf))
-    return out
+    return _job(spark, sf)[0]
 
 
 @query("feature_importance")
 def q_feature_importance(spark, sf):
     """A31 + S4: mean importance per feature over the seeds and folds, largest first (no SQL oracle)."""
-    return model.mean_importance(_stacked([r.importance for r in _seed_runs(spark, sf)]))
+    return model.mean_importance(_stacked([r.importance for r in _job(spark, sf)[1]]))
