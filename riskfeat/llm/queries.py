@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfeat.llm import decontaminate, hmm, impact_index, line_dedup, near_dedup, packing, quality, reply_trees, tokens, toxicity
+from riskfeat.llm import (decontaminate, hmm, impact_index, language, line_dedup, near_dedup, packing, phrases, quality,
+                          reply_trees, spelling, tokens, toxicity)
 from riskfeat.llm.common import table
 
 
@@ -58,6 +59,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(spark, table(spark, sf_dir, "documents"))
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(spark, table(spark, sf_dir, "documents"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_reply_trees": op2_reply_trees,
@@ -69,6 +82,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_decontaminate": op9_decontaminate,
     "op10_packing": op10_packing,
+    "op11_language": op11_language,
+    "op12_phrases": op12_phrases,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLES: dict[str, str] = {
