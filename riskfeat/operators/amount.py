@@ -2,8 +2,8 @@
 
 Each block is one ``groupBy(key).agg(...)``: every aggregate here is
 partial-aggregated map-side, so a user holding a large share of the rows sends
-one partial row per map task, not its rows. ``median`` keeps a value->count
-map per group (memory bounded by distinct amounts of the user, not rows).
+one partial row per map task, not its rows. Medians come from rank selection over
+(user, value) counts (``functions.ranks``) and are joined to the block.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import ranks
 from ..functions.stats import stat, sum0
 
 # Statistic order and names of the amount blocks.
@@ -20,16 +21,22 @@ STATS9 = ("mean", "std", "max", "min", "sum", "med", "cnt", "skew", "nunique")
 
 
 def amount_stat_exprs(value: str = "amount", name_fn=None) -> list[Column]:
-    """STATS9 of ``value``; names ``user_amount_{stat}``, nunique as ``user_ampunt_nunique``."""
+    """STATS9 of ``value`` but the median; names ``user_amount_{stat}``, nunique as ``user_ampunt_nunique``."""
     if name_fn is None:
         def name_fn(s: str) -> str:
             return "user_ampunt_nunique" if s == "nunique" else f"user_amount_{s}"
-    return [stat(s, value).alias(name_fn(s)) for s in STATS9]
+    return [stat(s, value).alias(name_fn(s)) for s in STATS9 if s != "med"]
+
+
+def with_median(block: DataFrame, trans: DataFrame, key: str = "user", value: str = "amount",
+                name: str = "user_amount_med") -> DataFrame:
+    """``block`` (one row per key) with the exact median of ``value``."""
+    return ranks.join_null_safe(block, ranks.exact_median(trans, [key], value, name), [key], "left")
 
 
 def user_amount_stats(trans: DataFrame, key: str = "user", value: str = "amount") -> DataFrame:
     """A1: mean, std, max, min, sum, median, count, skew, nunique of amount per user."""
-    return trans.groupBy(key).agg(*amount_stat_exprs(value))
+    return with_median(trans.groupBy(key).agg(*amount_stat_exprs(value)), trans, key, value)
 
 
 def conditional_amount_stats(trans: DataFrame, conditions: Mapping[str, Column],
@@ -49,9 +56,19 @@ def conditional_amount_stats(trans: DataFrame, conditions: Mapping[str, Column],
         v = F.when(cond, F.col(value))
         present = F.count(F.when(cond, F.lit(1))) > 0
         for s in STATS9:
+            if s == "med":
+                continue
             label = "nun" if s == "nunique" else s
             exprs.append(F.when(present, stat(s, v)).alias(f"user_amount_{label}_{suffix}"))
-    return trans.where(any_cond).groupBy(key).agg(*exprs)
+    rows = trans.where(any_cond)
+    # one row per (key, value, conditions met) before it counts for each of them
+    met = F.array_compact(F.array(*[F.when(cond, F.lit(suffix)) for suffix, cond in conditions.items()]))
+    counts = (rows.where(F.col(value).isNotNull()).select(key, value, met.alias("met")).groupBy(key, value, "met")
+              .agg(F.count(F.lit(1)).alias("c")).select(key, value, "c", F.explode("met").alias("suffix"))
+              .groupBy(key, "suffix", value).agg(F.sum("c").alias("c")))
+    medians = (ranks.median_of_counts(counts, [key, "suffix"], value).groupBy(key)
+               .agg(*[F.max(F.when(F.col("suffix") == s, F.col("median"))).alias(f"user_amount_med_{s}") for s in conditions]))
+    return ranks.join_null_safe(rows.groupBy(key).agg(*exprs), medians, [key], "left")
 
 
 def day_window_conditions(windows: Iterable[int], day: str = "days_diff") -> dict[str, Column]:

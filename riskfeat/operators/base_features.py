@@ -15,6 +15,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import ranks
 from ..functions.stats import safe_div
 
 # The column groups of the reference's user table.
@@ -84,13 +85,15 @@ def base_centred(base: DataFrame, cols: Iterable[str] = CENTRED_COLS) -> DataFra
 
     The statistics cover every row of the table (train and scoring rows).
     """
-    new = {}
+    cols, new = list(cols), {}
+    long = base.select(F.explode(F.array(*[F.struct(F.lit(c).alias("col_name"), F.col(c).cast("double").alias("value"))
+                                           for c in cols])).alias("e")).select("e.*")
+    medians = ranks.exact_median(long, ["col_name"], "value")
     for c in cols:
-        stats = base.select(F.max(c).alias("mx"), F.min(c).alias("mn"),
-                            F.median(c).alias("md"), F.avg(c).alias("av"))
+        stats = base.select(F.max(c).alias("mx"), F.min(c).alias("mn"), F.avg(c).alias("av"))
         new[f"{c}_max"] = stats.select("mx").scalar() - F.col(c)
         new[f"{c}_min"] = F.col(c) - stats.select("mn").scalar()
-        new[f"{c}_median"] = F.col(c) - stats.select("md").scalar()
+        new[f"{c}_median"] = F.col(c) - medians.where(F.col("col_name") == c).select("median").scalar()
         new[f"{c}_mean"] = F.col(c) - stats.select("av").scalar()
     return base.withColumns(new)
 

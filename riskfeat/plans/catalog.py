@@ -324,26 +324,28 @@ def q_tfidf_weights(spark, sf):
     return text_vectors.tfidf_weights(_opn(spark, sf), common.TEXT_COLS)
 
 
+@query("svd_gram")
+def q_svd_gram(spark, sf):
+    """V3, first half: the Gram matrices of the count matrices."""
+    return text_vectors.gram(text_vectors.token_counts(_opn(spark, sf), common.TEXT_COLS), value="count")
+
+
 @query("svd_tfidf")
 def q_svd_tfidf(spark, sf):
     """V3 on TF-IDF weights, 10 components per column (no SQL oracle)."""
     op = _opn(spark, sf)
-    w = text_vectors.tfidf_weights(op, common.TEXT_COLS)
-    out = op.select("user").distinct()
-    for c in common.TEXT_COLS:
-        out = out.join(text_vectors.svd_components(w, c, 10, f"svd_tfidf_{c}_op"), "user", "left")
-    return out
+    scores = text_vectors.svd_scores(text_vectors.tfidf_weights(op, common.TEXT_COLS),
+                                     {c: f"svd_tfidf_{c}_op" for c in common.TEXT_COLS}, 10)
+    return op.select("user").distinct().join(scores, "user", "left")
 
 
 @query("svd_countvec")
 def q_svd_countvec(spark, sf):
     """V3 on raw counts, 10 components per column (no SQL oracle)."""
     op = _opn(spark, sf)
-    w = text_vectors.token_counts(op, common.TEXT_COLS)
-    out = op.select("user").distinct()
-    for c in common.TEXT_COLS:
-        out = out.join(text_vectors.svd_components(w, c, 10, f"svd_countvec_{c}_op", value="count"), "user", "left")
-    return out
+    scores = text_vectors.svd_scores(text_vectors.token_counts(op, common.TEXT_COLS),
+                                     {c: f"svd_countvec_{c}_op" for c in common.TEXT_COLS}, 10, value="count")
+    return op.select("user").distinct().join(scores, "user", "left")
 
 
 # ---------------------------------------------------------------- T3

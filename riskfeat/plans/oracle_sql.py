@@ -440,6 +440,10 @@ ORACLES["tfidf_weights"] = with_views(
     f"JOIN (SELECT col_name, token, count(*) AS df FROM tc GROUP BY col_name, token) f USING (col_name, token) "
     f"CROSS JOIN (SELECT count(DISTINCT {U}) AS docs FROM op_t) d)", [("tc", _TC)])
 
+ORACLES["svd_gram"] = with_views(
+    f"SELECT a.col_name, a.token, b.token AS other, CAST(sum(a.n * b.n) AS DOUBLE) AS g FROM tc a "
+    f"JOIN tc b ON a.col_name = b.col_name AND a.{U} = b.{U} AND a.token <= b.token GROUP BY ALL", [("tc", _TC)])
+
 # ---------------------------------------------------------------- T3
 _ENC = ["province", "city", "regist_type", "balance", "balance_avg"]
 ORACLES["label_encode"] = with_views(

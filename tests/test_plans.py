@@ -16,3 +16,9 @@ def test_plan_is_jvm_only_and_partitioned(spark, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan and "PythonUDF" not in plan
     assert not UNPARTITIONED_WINDOW.search(plan), plan
+
+
+@pytest.mark.parametrize("name", ["svd_tfidf", "svd_countvec", "svd_gram"])
+def test_no_row_goes_through_an_rdd_or_a_literal_vocabulary(spark, name):
+    plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "ExternalRDD" not in plan and "ExistingRDD" not in plan and "map(" not in plan
