@@ -12,7 +12,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfeat.session import checkpoint_dir
+from riskfeat.session import checkpoint_dir, remove_folder
 
 # Functions of this subpackage travel to the executors whole, so a worker need
 # not have the package on its path.
@@ -38,6 +38,13 @@ def save(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop(spark: SparkSession, saved: DataFrame) -> None:
+    """Delete the table behind a result of ``save`` that nothing reads any more."""
+    files = saved.inputFiles()
+    if files:
+        remove_folder(spark, files[0].rsplit("/", 1)[0])
+
+
 def held_out(doc_id: str | Column, k: int) -> Column:
     """crc32(doc_id as text) mod k = 0; a null id is not held out."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -49,7 +49,7 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
 
 
 def link(spark: SparkSession, entries: DataFrame, prepare: Callable[[DataFrame], tuple[Callable, Callable]],
-         rounds: int = 1) -> DataFrame:
+         rounds: int = 1, narrow: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> DataFrame:
     """node, component of every node with a link.
 
     ``entries``: key, node (long). ``prepare`` gets the nodes that share any
@@ -57,12 +57,14 @@ def link(spark: SparkSession, entries: DataFrame, prepare: Callable[[DataFrame],
     (a, b: long) those linked; ``finish`` gets the members (key, node,
     component) of buckets of several components and returns links (a, b) that join all
     components with linked members. So every pair of nodes that share a key ends up
-    compared or in one component.
+    compared or in one component. ``narrow`` may thin ``entries`` before they are joined with keys (key, pivot); it
+    must keep all entries of those keys.
     """
     multi = save(spark, entries.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("other"),
                                                    F.count(F.lit(1)).alias("n")).where("pivot < other"), "buckets")
     # the members of buckets of more than two; a bucket of two is a pair
-    members = save(spark, entries.join(multi.where("n > 2").select("key", "pivot"), "key"), "members")
+    larger = multi.where("n > 2").select("key", "pivot")
+    members = save(spark, (narrow(entries, larger) if narrow else entries).join(larger, "key"), "members")
     pairs = save(spark, members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
                  .unionByName(multi.where("n = 2").select(F.col("pivot").alias("a"), F.col("other").alias("b")))
                  .distinct(), "pairs")
