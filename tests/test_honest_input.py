@@ -144,7 +144,14 @@ def test_the_best_round_is_kept(spark):
         spark.createDataFrame(rows, "a double, b double, _y double")).withColumn("_w", F.lit(1.0))
     fit, held = df.where("b < 3"), df.where("b >= 3")
     m = GBTClassifier(labelCol="_y", weightCol="_w", maxIter=12, maxDepth=3, seed=1).fit(fit)
-    loss = m.evaluateEachIteration(held)
+    # the rule is held-out AUC: margins from each tree's own predictions, all pairs of rows
+    own = held.collect()
+    margin, aucs = [0.0] * len(own), []
+    for tree, w in zip(m.trees, m.treeWeights):
+        margin = [x + w * tree.predict(r.features) for x, r in zip(margin, own)]
+        pos, neg = ([x for x, r in zip(margin, own) if r._y == y] for y in (1.0, 0.0))
+        aucs.append(sum((p > n) + (p == n) / 2 for p in pos for n in neg) / (len(pos) * len(neg)))
+    assert [r.auc for r in sorted(model.round_aucs(model.round_margins(m, held)).collect())] == pytest.approx(aucs)
     cut = model.best_round(m, held)
-    assert len(cut.treeWeights) == loss.index(min(loss)) + 1
+    assert len(cut.treeWeights) == aucs.index(max(aucs)) + 1
     assert cut.transform(held).count() == held.count()
