@@ -11,6 +11,7 @@ large-star and small-star steps, so long chains take a logarithmic number of the
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,11 +49,12 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
                  .unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "star")
 
 
-def link(spark: SparkSession, entries: DataFrame, prepare: Callable[[DataFrame], tuple[Callable, Callable]],
+def link(spark: SparkSession, entries: DataFrame | list[DataFrame], prepare: Callable[[DataFrame], tuple[Callable, Callable]],
          rounds: int = 1, narrow: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> DataFrame:
     """node, component of every node with a link.
 
-    ``entries``: key, node (long). ``prepare`` gets the nodes that share any
+    ``entries``: key, node (long), or several such tables without common keys, whose buckets are found one table
+    after another so that fewer entries are shuffled at a time. ``prepare`` gets the nodes that share any
     bucket (node, distinct) and returns two functions: ``verify`` tells of pairs
     (a, b: long) those linked; ``finish`` gets the members (key, node,
     component) of buckets of several components and returns links (a, b) that join all
@@ -60,8 +62,12 @@ def link(spark: SparkSession, entries: DataFrame, prepare: Callable[[DataFrame],
     compared or in one component. ``narrow`` may thin ``entries`` before they are joined with keys (key, pivot); it
     must keep all entries of those keys.
     """
-    multi = save(spark, entries.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("other"),
-                                                   F.count(F.lit(1)).alias("n")).where("pivot < other"), "buckets")
+    slices = entries if isinstance(entries, list) else [entries]
+    entries = reduce(DataFrame.unionByName, slices)
+    multi = reduce(DataFrame.unionByName, [
+        save(spark, part.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("other"),
+                                            F.count(F.lit(1)).alias("n")).where("pivot < other"), "buckets")
+        for part in slices])
     # the members of buckets of more than two; a bucket of two is a pair
     larger = multi.where("n > 2").select("key", "pivot")
     members = save(spark, (narrow(entries, larger) if narrow else entries).join(larger, "key"), "members")
