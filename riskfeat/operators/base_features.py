@@ -3,9 +3,9 @@
 Row-wise arithmetic is plain projection (whole-stage codegen, no shuffle).
 Whole-table statistics enter as scalar subqueries (``DataFrame.scalar()``):
 each is a one-row aggregate computed once and substituted as a constant, with
-no join. Value counts are aggregated lookup tables joined back on the value;
-their size is bounded by the column's cardinality, and AQE turns the join
-into a broadcast only after measuring that side.
+no join. Value counts of all columns are one long aggregation, looked up by
+``lookup.attach``: small columns are broadcast after their size is measured, all
+others share one join.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ranks
 from ..functions.stats import safe_div
+from . import lookup
 
 # The column groups of the reference's user table.
 PRODUCT_AMOUNTS = [f"product{i}_amount" for i in range(1, 7)]
@@ -98,10 +99,6 @@ def base_centred(base: DataFrame, cols: Iterable[str] = CENTRED_COLS) -> DataFra
     return base.withColumns(new)
 
 
-def _value_counts(base: DataFrame, col: str, name: str) -> DataFrame:
-    return base.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias(name))
-
-
 def value_frequency(base: DataFrame) -> DataFrame:
     """A24-A26 on the user table.
 
@@ -113,18 +110,17 @@ def value_frequency(base: DataFrame) -> DataFrame:
 
     A null value gets null.
     """
-    df = base
-    total_rows = base.select(F.count(F.lit(1))).scalar()
-    for c in SHARE_COLS:
-        nonnull = base.select(F.count(c)).scalar()
-        df = (df.join(_value_counts(base, c, f"{c}_user_count"), c, "left")
-              .withColumn(f"{c}_count", F.col(f"{c}_user_count") / nonnull))
-    for c in COUNT_RATIO_COLS:
-        df = (df.join(_value_counts(base, c, f"{c}_count"), c, "left")
-              .withColumn(f"{c}_count_ratio", F.col(f"{c}_count") / total_rows))
-    for c in COUNT_COLS:
-        df = df.join(_value_counts(base, c, f"{c}_count"), c, "left")
-    return df
+    cols = [*SHARE_COLS, *COUNT_RATIO_COLS, *COUNT_COLS]
+    names = [f"{c}_user_count" if c in SHARE_COLS else f"{c}_count" for c in cols]
+    table = lookup.value_counts(base, cols)
+    # one row for each column
+    rows = {r["i"]: r for r in table.groupBy("i").agg(
+        F.sum("n").alias("all"), F.sum(F.when(F.col("v").isNotNull(), F.col("n"))).alias("nonnull")).collect()}
+    of = lambda c, what: F.lit(rows[cols.index(c)][what] if rows else None).cast("double")
+    df = lookup.attach(base, cols, table, "n", names)
+    return df.withColumns({
+        **{f"{c}_count": F.col(f"{c}_user_count") / of(c, "nonnull") for c in SHARE_COLS},
+        **{f"{c}_count_ratio": F.col(f"{c}_count") / of(c, "all") for c in COUNT_RATIO_COLS}})
 
 
 VALUE_FREQUENCY_COLUMNS = (
