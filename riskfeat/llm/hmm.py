@@ -41,7 +41,9 @@ ITERATIONS = 5
 #: Baum-Welch takes longer texts in parts of so many tokens (scores never do).
 PART = 32_768
 #: Texts and tokens that a task recurs over side by side, at most.
-SIDE_BY_SIDE, TOKENS = 512, 150_000
+SIDE_BY_SIDE, TOKENS = 512, 400_000
+#: Steps from one scaling to the next. A step takes a factor of 1e-30 at least (PRIOR, unigram), doubles reach 1e-308.
+SCALED = 8
 PRIOR = 100.0
 
 
@@ -94,9 +96,9 @@ def gather(seqs: list[np.ndarray], own: np.ndarray) -> tuple[np.ndarray, np.ndar
     """Classes of the sequences step by step, with lengths, active counts and step starts."""
     lengths = np.array([len(seqs[k]) for k in own])
     active, at = time_major(lengths)
-    step = np.concatenate([np.arange(n) for n in lengths])
     obs = np.empty(at[-1], np.int64)
-    obs[at[step] + np.repeat(np.arange(len(own)), lengths)] = np.concatenate([seqs[k] for k in own])
+    for row, k in enumerate(own):
+        obs[at[:lengths[row]] + row] = seqs[k]
     return obs, lengths, active, at
 
 
@@ -106,44 +108,56 @@ def log10_likelihood(seqs: list[np.ndarray], start: np.ndarray, trans: np.ndarra
     sizes = np.array([len(s) for s in seqs], np.int64)
     for own in side_by_side(sizes):
         obs, _, active, at = gather(seqs, own)
-        scale = np.empty(at[-1])
+        total, ones = np.zeros(len(own)), np.ones(len(start))
         alpha = np.broadcast_to(start, (len(own), len(start)))
         for t, n in enumerate(active):
-            alpha = (alpha[:n] @ trans if t else alpha) * emit[obs[at[t]:at[t + 1]]]
-            s = alpha.sum(1)
-            scale[at[t]:at[t + 1]] = s
-            alpha /= s[:, None]
-        row = np.arange(at[-1]) - np.repeat(at[:-1], active)
-        out[own] = np.bincount(row, np.log10(scale), len(own))
+            # texts that ended at the step before are whole
+            if t and n < len(alpha):
+                total[n:len(alpha)] += np.log10(alpha[n:] @ ones)
+            alpha = (alpha[:n] @ trans if t else alpha) * np.take(emit, obs[at[t]:at[t + 1]], axis=0)
+            if t % SCALED == SCALED - 1:
+                s = alpha @ ones
+                total[:n] += np.log10(s)
+                alpha /= s[:, None]
+        out[own] = total
+        out[own[:len(alpha)]] += np.log10(alpha @ ones)
     return out
 
 
 def expected(seqs: list[np.ndarray], start: np.ndarray, trans: np.ndarray, emit: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Expected starts, transitions and emissions (classes, states) of class sequences, none of them empty."""
+    """Expected starts, transitions and emissions (classes, states) of class sequences, none of them empty.
+
+    Both recursions are divided by the same sums at every ``SCALED``-th step; at its end a text's backward values are
+    one over its last forward sum, so that forward times backward adds up to 1 at every token.
+    """
     k = len(start)
+    ones, back = np.ones(k), trans.T.copy()
     e_start, e_trans, e_emit = np.zeros(k), np.zeros((k, k)), np.zeros_like(emit)
     for own in side_by_side(np.array([len(s) for s in seqs], np.int64)):
-        obs, _, active, at = gather(seqs, own)
-        b = emit[obs]
-        alpha, scale = np.empty_like(b), np.empty(len(b))
-        now = np.broadcast_to(start, (len(own), k))
-        for t, n in enumerate(active):
-            now = (now[:n] @ trans if t else now) * b[at[t]:at[t + 1]]
-            s = now.sum(1)
-            now = now / s[:, None]
-            alpha[at[t]:at[t + 1]], scale[at[t]:at[t + 1]] = now, s
-        b /= scale[:, None]
-        later = np.ones((active[-1], k))
-        back = trans.T.copy()
-        for t in range(len(active) - 1, -1, -1):
-            here = alpha[at[t]:at[t + 1]]
-            if t + 1 < len(active):
-                n = active[t + 1]
-                w = b[at[t + 1]:at[t + 2]] * later
-                e_trans += here[:n].T @ w
-                later = np.ones((active[t], k))
-                later[:n] = w @ back
-            here *= later
+        obs, lengths, active, at = gather(seqs, own)
+        b = np.take(emit, obs, axis=0)
+        alpha = np.empty_like(b)
+        begin = at.tolist()
+        np.multiply(start, b[:begin[1]], out=alpha[:begin[1]])
+        for t in range(len(active)):
+            here = alpha[begin[t]:begin[t + 1]]
+            if t:
+                np.matmul(alpha[begin[t - 1]:begin[t - 1] + len(here)], trans, out=here)
+                here *= b[begin[t]:begin[t + 1]]
+            if t % SCALED == SCALED - 1:
+                s = (here @ ones)[:, None]
+                here /= s
+                b[begin[t]:begin[t + 1]] /= s
+        later = np.empty_like(b)
+        last = at[lengths - 1] + np.arange(len(own))
+        later[last] = 1 / (alpha[last] @ ones)[:, None]
+        for t in range(len(active) - 2, -1, -1):
+            a, z = begin[t + 1], begin[t + 2]
+            w = b[a:z]
+            w *= later[a:z]
+            np.matmul(w, back, out=later[begin[t]:begin[t] + z - a])
+            e_trans += alpha[begin[t]:begin[t] + z - a].T @ w
+        alpha *= later
         e_start += alpha[:active[0]].sum(0)
         for s, gamma in enumerate(np.ascontiguousarray(alpha.T)):
             e_emit[:, s] += np.bincount(obs, gamma, len(emit))
